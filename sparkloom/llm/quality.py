@@ -1,8 +1,8 @@
 """Quality by logistic regression on hashed word n-grams, trained online with
 follow-the-regularised-leader (proximal) updates.
 
-Tokens are runs of word characters and runs of other signs, case kept; unigrams
-and bigrams are hashed into a fixed number of weights; a text is the vector of
+Tokens are runs of word characters and runs of other signs, case kept; a token
+that follows itself is one sign, whatever it is. Unigrams and bigrams are hashed into a fixed number of weights; a text is the vector of
 its n-gram counts scaled to unit length, and its score the logistic of a sparse
 dot product. Training streams through one task: its memory is the weights.
 
@@ -28,6 +28,7 @@ from sparkloom.llm.toxicity import training_sample
 
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
+SAME, SAME_PAIR = np.uint64(1), np.uint64(2)
 
 
 def ngrams(text: str | None, bits: int = 18) -> tuple[np.ndarray, np.ndarray]:
@@ -35,6 +36,10 @@ def ngrams(text: str | None, bits: int = 18) -> tuple[np.ndarray, np.ndarray]:
     tokens = TOKEN.findall(text or "")
     one = np.fromiter(map(xxhash.xxh64_intdigest, tokens), np.uint64, len(tokens))
     two = one[:-1] * MIX + one[1:]
+    # A token after itself and a pair after itself become one sign each, whatever they are.
+    again, pair = one[1:] == one[:-1], two[2:] == two[:-2]
+    two[np.flatnonzero(again)] = SAME
+    two[np.flatnonzero(pair) + 2] = SAME_PAIR
     index = np.concatenate([one * MIX >> np.uint64(64 - bits), two * MIX >> np.uint64(64 - bits)]).astype(np.int64)
     index, counts = np.unique(index, return_counts=True)
     values = np.sqrt(counts)
@@ -46,10 +51,10 @@ class Ftrl:
     """Per-coordinate proximal updates; the last coordinate is the bias."""
 
     bits: int = 18
-    alpha: float = 0.5
+    alpha: float = 2.0
     beta: float = 1.0
-    l1: float = 0.05
-    l2: float = 0.1
+    l1: float = 0.01
+    l2: float = 0.01
     z: np.ndarray = field(default=None)
     n: np.ndarray = field(default=None)
 
