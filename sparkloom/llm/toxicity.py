@@ -5,11 +5,11 @@ Latin and digits (and @ and $ between letters) to the letters they stand for.
 Words are joined by single spaces, so a pattern that begins with a space is
 anchored at a word's start and one that also ends with a space is a whole word.
 
-The lexicon is learned from labelled rows: a stem or word qualifies if it is far
-likelier in toxic rows; of a chain of stems with the same rows the longest is
-taken. The score is a logistic function of the matched weight per word and of
-the matched weight, fitted on the same rows. Matches inside an exception phrase
-do not count.
+The lexicon is learned from labelled rows: a stem or word qualifies if it begins a
+far larger share of the words of toxic rows; of a chain of stems with the same
+rows the longest is taken. The score is a logistic function of the matched weight per word, of the
+matched weight, fitted on the same rows. Matches inside an exception phrase
+do not count. A word that is repeated counts once.
 
 Defined results: null and empty texts match nothing and get the score of no
 match; repeated rows get equal scores and are learned from once; without
@@ -60,13 +60,12 @@ def fold(text: str | None) -> str:
 
 @dataclass(frozen=True)
 class Model:
-    """patterns: weight of each (space-anchored); bias, density and mass: of the logistic function."""
+    """patterns: weight of each (space-anchored); factors: of the logistic function,
+    for its constant and the features."""
 
     patterns: dict[str, float]
     exceptions: tuple[str, ...] = EXCEPTIONS
-    bias: float = -2.0
-    density: float = 2.0
-    mass: float = 1.0
+    factors: tuple[float, ...] = (-2.0, 2.0, 1.0)
     built: dict = field(default_factory=dict, compare=False, repr=False)
 
     def __getstate__(self) -> dict:
@@ -101,42 +100,54 @@ class Model:
         return [(s, e, w) for s, (e, w) in sorted(found.items()) if not any(a <= s and e <= b for a, b in free)]
 
     def features(self, text: str | None) -> tuple[float, float]:
+        """Of the different matched words the weight for each hundred different
+        words of the text, and the weight; as logarithms."""
         folded = fold(text)
-        total = sum(w for _, _, w in self.matches(folded))
-        return math.log1p(100 * total / (folded.count(" ") + 9)), math.log1p(total)
+        weights = {folded[s : folded.index(" ", s + 1)]: w for s, _, w in self.matches(folded)}
+        total, size = sum(weights.values()), len(set(folded.split()))
+        return math.log1p(100 * total / (size + 10)), math.log1p(total)
 
     def score(self, text: str | None) -> float:
-        x, y = self.features(text)
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.bias + self.density * x + self.mass * y))))
+        z = sum(f * x for f, x in zip(self.factors, (1.0, *self.features(text)), strict=True))
+        return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
 DEFAULT = Model({f" {w} ": x for w, x in BUILT_IN.items()})
 
 
-def _stems(folded: str, longest: int = 12) -> set[str]:
-    """Every word's beginnings of 3 to ``longest`` letters and, where it is no longer, the word itself."""
-    out: set[str] = set()
+def _stems(folded: str, longest: int = 12) -> Counter[str]:
+    """How many different words have each beginning of 3 to ``longest`` letters,
+    and the words that are no longer themselves."""
+    out: Counter[str] = Counter()
     for word in set(folded.split()):
         n = len(word)
         for k in range(3, min(n, longest) + 1):
-            out.add(" " + word[:k])
+            out[" " + word[:k]] += 1
         if 2 < n <= longest:
-            out.add(f" {word} ")
+            out[f" {word} "] += 1
     return out
 
 
-def chosen(counts: dict[str, tuple[int, int]], positives: int, negatives: int, least_odds: float = 2.5, least_share: float = 0.02) -> dict[str, float]:
-    """The lexicon: pattern to log-odds weight.
+def log_odds(toxic: int, other: int, toxic_words: int, other_words: int) -> float:
+    """How much more of the words of toxic rows than of other rows a stem begins."""
+    return math.log((toxic + 0.5) / (toxic_words + 1)) - math.log((other + 0.5) / (other_words + 1))
 
-    From each shortest qualifying stem the search goes on to its extensions
-    while at most three of them, all qualifying, have nearly all its rows.
-    """
-    support = max(3, least_share * positives)
 
-    def odds(p: int, n: int) -> float:
-        return math.log((p + 0.5) / (positives + 1)) - math.log((n + 0.5) / (negatives + 1))
+def chosen(counts: dict[str, tuple[int, int, int]], rows: int, toxic_words: int, other_words: int, least_odds: float = 1.5, least_share: float = 0.02) -> dict[str, float]:
+    """The lexicon, pattern to log-odds weight, from each stem's toxic rows and its
+    occurrences in toxic and in other rows; ``rows`` are toxic.
 
-    good = {k: (p, odds(p, n)) for k, (p, n) in counts.items() if p >= support and odds(p, n) >= least_odds}
+    A stem qualifies if the lower end of its log-odds' 95 % interval reaches
+    ``least_odds``. From each shortest qualifying stem the search goes on to its extensions
+    while at most three of them, all qualifying, have nearly all its rows.
+    """
+    support = max(3, least_share * rows)
+    good = {}
+    for k, (df, toxic, other) in counts.items():
+        weight = log_odds(toxic, other, toxic_words, other_words)
+        error = math.sqrt(1 / (toxic + 0.5) + 1 / (other + 0.5))
+        if df >= support and weight - 1.96 * error >= least_odds:
+            good[k] = (df, weight)
     below: dict[str, list[str]] = {}
     for k in good:
         below.setdefault(k[:-1], []).append(k)
@@ -157,13 +168,13 @@ def chosen(counts: dict[str, tuple[int, int]], positives: int, negatives: int, l
 
 
 def _fit(rows: np.ndarray, truth: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
-    """Logistic coefficients (bias, density, mass) by damped Newton steps."""
+    """Logistic factors, the constant first, by damped Newton steps."""
     x = np.column_stack([np.ones(len(rows)), rows])
-    w = np.zeros(3)
+    w = np.zeros(x.shape[1])
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         grad = x.T @ (p - truth) + ridge * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(3)
+        hess = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
         step = np.linalg.solve(hess, grad)
         w -= step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-6:
@@ -183,36 +194,44 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, t
 def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", key: str = "doc_id", most: int = 6000, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
     """A model from at most ``most`` labelled rows outside the held-out fold."""
     sample = training_sample(docs, labels, label, most, text, key)
-    sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    positives, negatives = sizes.get(1, 0), sizes.get(0, 0)
-    if not positives or not negatives:
-        return DEFAULT
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_batches(batches, "text", 4 << 20):
-            seen: tuple[Counter, Counter] = (Counter(), Counter())
+            rows, found = Counter(), (Counter(), Counter())
             for x, y in zip(texts, part.column("label").to_pylist(), strict=True):
-                seen[y].update(_stems(fold(x)))
-            keys = list(seen[0] | seen[1])
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([seen[1][k] for k in keys], pa.int64()), pa.array([seen[0][k] for k in keys], pa.int64())], ["stem", "pos", "neg"])
-
-    stems = sample.select("text", "label").mapInArrow(count, "stem string, pos bigint, neg bigint")
-    stems = stems.groupBy("stem").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    # The filter leaves what is frequent in the bounded sample's toxic rows and rare in the others.
-    found = stems.where(F.col("pos") >= max(3, 0.02 * positives)).where((F.col("pos") + 0.5) * (negatives + 1) >= math.exp(2.5) * (F.col("neg") + 0.5) * (positives + 1)).toArrow().to_pydict()
-    patterns = chosen({k: (p, n) for k, p, n in zip(found["stem"], found["pos"], found["neg"], strict=True)}, positives, negatives)
+                folded = fold(x)
+                stems = _stems(folded)
+                stems[""] = len(set(folded.split()))
+                found[y].update(stems)
+                rows.update(stems.keys() if y else ())
+            keys = list(found[0] | found[1])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *(pa.array([c[k] for k in keys], pa.int64()) for c in (rows, found[1], found[0]))], ["stem", "df", "toxic", "other"])
+
+    stems = sample.select("text", "label").mapInArrow(count, "stem string, df bigint, toxic bigint, other bigint")
+    stems = written(stems.groupBy("stem").agg(F.sum("df").alias("df"), F.sum("toxic").alias("toxic"), F.sum("other").alias("other")), "stems")
+    whole = stems.where("stem = ''").first()
+    if whole is None or not whole["toxic"] or not whole["other"]:
+        return DEFAULT
+    # What is left is frequent in the bounded sample's toxic rows and rare in the others.
+    often = (F.col("stem") != "") & (F.col("df") >= max(3, 0.02 * whole["df"]))
+    odds = (F.col("toxic") + 0.5) * (whole["other"] + 1) / ((F.col("other") + 0.5) * (whole["toxic"] + 1))
+    found = stems.where(often & (odds >= math.exp(1.5))).toArrow().to_pydict()
+    counts = {k: x for k, *x in zip(found["stem"], found["df"], found["toxic"], found["other"], strict=True)}
+    patterns = chosen(counts, whole["df"], whole["toxic"], whole["other"])
     if not patterns:
         return DEFAULT
     model = Model(patterns, exceptions)
 
+    names = ["x", "y", "label"]
+
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in text_batches(batches, "text"):
-            found = [model.features(x) for x in texts]
-            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.float64()), pa.array([y for _, y in found], pa.float64()), part.column("label")], ["x", "y", "label"])
+            found = [(*model.features(x), y) for x, y in zip(texts, part.column("label").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.float64()) for i in range(3)], names)
 
-    rows = sample.select("text", "label").mapInArrow(measure, "x double, y double, label int").toArrow().sort_by([("x", "ascending"), ("y", "ascending"), ("label", "ascending")])
-    bias, density, mass = _fit(np.column_stack([rows["x"].to_numpy(), rows["y"].to_numpy()]), rows["label"].to_numpy().astype(float))
-    return Model(patterns, exceptions, float(bias), float(density), float(mass))
+    rows = sample.select("text", "label").mapInArrow(measure, "x double, y double, label double").toArrow().sort_by([(n, "ascending") for n in names])
+    factors = _fit(np.column_stack([rows[n].to_numpy() for n in names[:2]]), rows["label"].to_numpy())
+    return Model(patterns, exceptions, tuple(map(float, factors)))
 
 
 def toxicity_score(model: Model, text: str | Column = "text") -> Column:
