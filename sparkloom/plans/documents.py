@@ -143,3 +143,11 @@ def content_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = F.when(F.col("quality") == 1, F.lit(" Exemplary ")).otherwise(F.lit("1"))
     return table(spark, sf_dir, "labels").select("doc_id", S.golden_label(raw).alias("label"))
+
+
+@query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n_events, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tumbling windows over events, as the streaming query has them."""
+    from sparkloom.streaming.ingest import windowed_events
+
+    return windowed_events(table(spark, sf_dir, "events")).withColumn("total", F.round("total", 4))
