@@ -364,9 +364,11 @@ class Layouts:
                 cut = text.split(" ")
                 cut[len(cut) // 2] = f'<a href="/{self.word()}">{cut[len(cut) // 2]}</a>'
                 text = " ".join(cut)
-            if kind < 0.72 or kind > 0.97:
+            if self.chance(0.08):
+                inside.append(self.pick((self.ad, self.ad, extra))())
+            if kind < 0.75 or kind > 0.97:
                 inside.append(f"<p>{main(text)}</p>" if self.chance(0.85) else self.pick((f"<p><b>\x01{text}<br>", f"<p>{main(text)}", f"<p>\x01<em>{text}</em></p>", f"<div>{main(text)}</div>")))
-            elif kind < 0.78:
+            elif kind < 0.80:
                 inside.append(f"<h2>{main(self.sentence(1, 6))}</h2>")
             elif kind < 0.83:
                 inside.append("<ul>" + "".join(f"<li>{main(self.sentence())}</li>" for _ in range(self.rng.randint(2, 5))) + "</ul>")
@@ -407,7 +409,8 @@ class Layouts:
 
     def ad(self) -> str:
         tag = self.pick(("div", "div", "div", "aside", "section"))
-        return f"<!-- ad --><{tag}{self.label(self.ADS)}>{self.prose(1, 2) if self.chance(0.7) else f'<p>{self.prose(1, 2)}</p>'}</{tag}>"
+        text = self.sentence(2, 6) if self.chance(0.4) else self.prose(1, 2)
+        return f"<!-- ad --><{tag}{self.label(self.ADS)}>{text if self.chance(0.7) else f'<p>{text}</p>'}</{tag}>"
 
     def note(self) -> str:
         text = self.pick(("We use cookies. ", "", "", "Subscribe to read more. ")) + self.prose(1, 2)
@@ -431,7 +434,7 @@ class Layouts:
 
 
 @lru_cache(4)
-def trained(pages: int = 500, seed: int = 5) -> Field:
+def trained(pages: int = 700, seed: int = 5) -> Field:
     """The field trained on ``pages`` labelled pages."""
     layouts = Layouts(seed)
     return fit([layouts.page() for _ in range(pages)])
