@@ -141,6 +141,8 @@ def probe(data: bytes) -> tuple[list[Track], str | None]:
                 track.sync = _table(view, at + 4, stop, ">u4") - 1
         if not found:
             error = "no boxes"
+        elif 0 < len(view) - max(b for _, _, b in boxes(view, 0, len(view))) < 8:
+            error = "a box header is cut off"
     except (Fault, struct.error, ValueError, IndexError) as e:
         error = str(e)
     for track, own in zip(tracks, tables, strict=True):
@@ -148,6 +150,8 @@ def probe(data: bytes) -> tuple[list[Track], str | None]:
             _place(track, own)
         except Fault as e:
             error = error or str(e)
+        if len(track.offsets) and int((track.offsets + track.sizes).max()) > len(view):
+            error = error or "samples lie beyond the end"
     return tracks, error
 
 

@@ -1,0 +1,147 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sparkloom.llm import decontaminate as dc
+from sparkloom.llm import pii, queries
+
+
+def least_edits(pattern, text):
+    """Sellers' algorithm: the fewest edits of the pattern against any part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, p in enumerate(pattern, 1):
+        new = [i]
+        for j, t in enumerate(text, 1):
+            new.append(min(row[j - 1] + (p != t), row[j] + 1, new[j - 1] + 1))
+        row = new
+    return min(row)
+
+
+def mutate(rng, text, n):
+    text = list(text)
+    for _ in range(n):
+        at, kind = rng.randrange(len(text)), rng.random()
+        if kind < 0.4:
+            text[at] = rng.choice("abcdefgh")
+        elif kind < 0.7:
+            text.insert(at, rng.choice("abcdefgh"))
+        else:
+            del text[at]
+    return "".join(text)
+
+
+def test_no_place_within_the_budget_is_missed():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 7)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    items = [(i, prose(rng.choice([6, 12, 40]))) for i in range(25)]
+    own = dc.Index(items)
+    texts = []
+    for i in range(120):
+        _, item = rng.choice(items)
+        texts.append(f"{prose(rng.randint(0, 30))} {mutate(rng, item, rng.randint(0, 8))} {prose(rng.randint(0, 30))}" if i % 3 else prose(60))
+    found = dc.searched(own, texts)
+    for text, hits in zip(texts, found, strict=True):
+        whole = dc.normal(text)
+        got = {w for w, *_ in hits}
+        for w, pattern in enumerate(own.texts):
+            cost = least_edits(pattern, whole)
+            assert (w in got) == (cost <= own.budgets[w]), (pattern, cost)
+        for _, start, end, cost in hits:
+            assert 0 <= start < end <= len(whole) and cost <= own.rule.band
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text("ab", min_size=4, max_size=20), st.text("ab", max_size=40))
+def test_banded_alignment(pattern, text):
+    width = len(text) + 1
+    cost, end = dc.edits(dc.codes(pattern), dc.codes(text), width)
+    assert cost == least_edits(pattern, text) or cost >= least_edits(pattern, text)
+    assert end <= len(text)
+
+
+def test_hashes_depend_on_order():
+    a, b = dc.gram_hashes(dc.codes("abcdefghij"), 10), dc.gram_hashes(dc.codes("abcdefghji"), 10)
+    assert len(a) == 1 and a[0] != b[0]
+    assert np.array_equal(dc.gram_hashes(dc.codes("xabcdefghij"), 10)[1:], a) and len(dc.gram_hashes(dc.codes("ab"), 10)) == 0
+
+
+def test_passages(spark, tmp_path):
+    rng = random.Random(1)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefghiklmnop", k=rng.randint(2, 8))) for _ in range(n))
+    item, other = prose(40), prose(30)
+    docs = [(1, f"Before it. {item.upper().replace(' ', ',  ')}! After."), (2, prose(80)), (3, None), (4, ""), (5, prose(2000) + " " + item[:150] + " " + prose(2000)), (6, item), (6, item)]
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    bench = [(7, item), (8, other), (9, None), (10, "too short"), (11, item)]
+    spark.createDataFrame(bench, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = queries.op7_decontamination(spark, str(tmp_path)).collect()
+    assert sorted({(r["doc_id"], r["item_id"]) for r in got}) == [(d, i) for d in (1, 5, 6) for i in (7, 11)] and len(got) == 8
+    text = docs[0][1]
+    r = next(r for r in got if r["doc_id"] == 1)
+    assert dc.normal(text[r["start"] : r["end"]]) == dc.normal(item) and r["edits"] == 0 and r["n_windows"] == r["n_item_windows"]
+    table = spark.read.parquet(f"{tmp_path}/benchmark.parquet")
+    d = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(x["doc_id"] for x in d.where(~dc.contaminated(table)).collect()) == [2, 3, 4]
+    assert d.where(dc.contaminated(table.limit(0))).count() == 0 and dc.passages(d, table.limit(0)).count() == 0
+    assert len(list(dc.blocks(table, "text", "item_id", dc.Rule(), most=100))) > 1
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 5000), st.binary(min_size=1, max_size=8))
+def test_feistel_is_a_permutation(size, key):
+    f = pii.Feistel(key, "t", size)
+    some = random.Random(0).sample(range(size), min(size, 300))
+    out = [f.encrypt(x) for x in some]
+    assert len(set(out)) == len(some) and all(0 <= x < size for x in out)
+    assert [f.decrypt(x) for x in out] == some
+
+
+def test_whole_domain():
+    f = pii.Feistel(b"k", "t", 1000)
+    assert sorted(map(f.encrypt, range(1000))) == list(range(1000))
+    g = pii.Feistel(b"other", "t", 1000)
+    assert [f.encrypt(x) for x in range(50)] != [g.encrypt(x) for x in range(50)]
+
+
+P = pii.Pseudonyms(b"a key")
+VALID = ["4417 7442 8035 1547", "4417-7442-8035-1547", "2024-02-29", "31/12/1999", "1.2.1985", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "123-45-6789", "+1 (243) 555-5526", "555-123-4567", "John.Doe42@mail.example.com", "192.168.10.1", "9233a8ecf7c5b09fe5949719b6b82bc0aa112233"]
+
+
+@pytest.mark.parametrize("value", VALID)
+def test_formats_are_kept(value):
+    text = f"Before {value}, after."
+    made = P.replace(text)
+    new = made.removeprefix("Before ").removesuffix(", after.")
+    assert value not in made and P.replace(made) != made
+    shape = lambda s: "".join("9" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else c for c in s)
+    if "." not in value and not value.startswith("9233"):
+        assert shape(new) == shape(value)
+    kinds = [s[2] for s in P.spans(made)]
+    assert kinds == [s[2] for s in P.spans(text)] and len(kinds) == 1
+    assert P.replace(f"x {value} y {value}").count(new) == 2
+
+
+@pytest.mark.parametrize("value", ["4417 7442 8035 1548", "2023-02-29", "32/12/1999", "DE88 3704 0044 0532 0130 00", "000-45-6789", "300.1.1.1", "12345", "1234567890123456", "3.14159", "v1.2.3.4.5", "1,234,567", ""])
+def test_invalid_values_stay(value):
+    assert P.replace(f"a {value} b") == f"a {value} b"
+
+
+def test_links_across_formats():
+    a, b = P.replace("4417 7442 8035 1547"), P.replace("4417-7442-8035-1547")
+    assert a.replace(" ", "") == b.replace("-", "")
+    assert P.replace("DE89 3704 0044 0532 0130 00 and more").endswith(" and more")
+    assert pii.luhn_digit("441774428035154") == 7
+    assert P.replace(None) is None
+
+
+def test_pii_query(spark, tmp_path):
+    rows = [(1, "mail me at a.b@c.org or call +1 (243) 555-5526"), (2, None), (3, ""), (4, "nothing here"), (5, "x " * 50_000 + "4417744280351547")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op8_pii(spark, str(tmp_path)).collect()}
+    assert got[1]["n_found"] == 2 and got[1]["kinds"] == "email,phone" and "a.b@" not in got[1]["text"]
+    assert [got[k]["text"] for k in (2, 3, 4)] == [None, "", "nothing here"] and got[5]["kinds"] == "card"
