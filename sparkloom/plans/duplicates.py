@@ -31,7 +31,11 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signed.select("doc_id", F.lpad(F.bin("fp"), 64, "0").alias("bits"))
 
 
-@query()
+_FP = " + ".join(f"(CASE WHEN b{i} THEN {1 << i}::UBIGINT ELSE 0::UBIGINT END)" for i in range(64))
+
+
+@query(SIMHASH_SQL + f""", f AS (SELECT doc_id, {_FP} AS fp FROM b), p AS (SELECT b.doc_id, a.doc_id AS duplicate_of, bit_count(xor(a.fp, b.fp)) AS d FROM f a JOIN f b ON a.doc_id < b.doc_id WHERE a.fp <> 0 AND b.fp <> 0)
+SELECT doc_id, min(duplicate_of) AS duplicate_of, 1 - arg_min(d, duplicate_of) / 64e0 AS similarity FROM p WHERE d <= 3 GROUP BY doc_id""")
 def dup_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.simhash_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
