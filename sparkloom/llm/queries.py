@@ -74,5 +74,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
+WARC_SQL = """WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS d, strlen(coalesce(html, '')) AS n FROM pages),
+m AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY d, n) END AS best FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN best <> page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN best <> page_id THEN best END AS refers_to FROM m"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_warc": WARC_SQL}
