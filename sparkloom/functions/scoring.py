@@ -1,7 +1,7 @@
 """Quality metrics, scores and bounds as Columns.
 
-A text's words are counted once: ``word_stats`` binds the token array in a
-lambda, and the metrics read its struct. Custom metrics register a builder.
+A text is scanned once: ``text_stats`` makes a struct of counts, and the metrics
+are arithmetic on it. Custom metrics register a builder.
 """
 
 from __future__ import annotations
@@ -41,8 +41,11 @@ AUTHORITY = {
 }
 
 
-def word_stats(text: Column) -> Column:
-    """n, distinct, stop, method and long words and sentences of a text, in one pass over its words."""
+def text_stats(text: Column) -> Column:
+    """An array of one struct with all that the metrics count in a text. The words
+    are bound in a lambda, so that they are found once."""
+    tail = F.right(F.lower(text), F.lit(1000))
+    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x)) > 50)
 
     def count(w: Column) -> Column:
         return F.struct(
@@ -52,9 +55,14 @@ def word_stats(text: Column) -> Column:
             F.size(F.filter(w, lambda z: z.isin(*METHODS))).alias("n_method"),
             F.size(F.filter(w, lambda z: F.length(z) > 6)).alias("n_long"),
             F.size(T.sentences(text)).alias("n_sentences"),
+            F.regexp_count(text, F.lit(r"\[\d+\]")).alias("n_brackets"),
+            F.regexp_count(text, F.lit(r"\([A-Z][a-z]+, \d{4}\)")).alias("n_authors"),
+            F.regexp_count(text, F.lit("https?://")).alias("n_links"),
+            reduce(lambda a, b: a + b, (tail.contains(k).cast("int") for k in CITATION_WORDS)).alias("n_citation_words"),
+            F.transform(lines, lambda x: F.length(x)).alias("lines"),
         )
 
-    return F.element_at(F.transform(F.array(T.tokens(text)), count), 1)
+    return F.transform(F.array(T.tokens(text)), count)
 
 
 def _unit(x: Column) -> Column:
@@ -62,10 +70,7 @@ def _unit(x: Column) -> Column:
 
 
 def citation_quality(text: Column, stats: Column, host: Column) -> Column:
-    links = F.regexp_count(text, F.lit("https?://"))
-    tail = F.right(F.lower(text), F.lit(1000))
-    words = reduce(lambda a, b: a + b, (tail.contains(k).cast("int") for k in CITATION_WORDS))
-    return _unit(F.regexp_count(text, F.lit(r"\[\d+\]")) * 0.2 + F.regexp_count(text, F.lit(r"\([A-Z][a-z]+, \d{4}\)")) * 0.3 + links * 0.1 + words * 0.4)
+    return _unit(stats["n_brackets"] * 0.2 + stats["n_authors"] * 0.3 + stats["n_links"] * 0.1 + stats["n_citation_words"] * 0.4)
 
 
 def writing_quality(text: Column, stats: Column, host: Column) -> Column:
@@ -98,17 +103,16 @@ def source_reputation(text: Column, stats: Column, host: Column) -> Column:
 
 
 def structural_integrity(text: Column, stats: Column, host: Column) -> Column:
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.trim(x)) > 50)
-    total = F.aggregate(lines, F.lit(0), lambda a, x: a + F.length(x))
-    mean = total / F.greatest(F.size(lines), F.lit(1))
-    return F.when(F.size(lines) == 0, 0.2).when(mean < 100, mean / 100).when(mean > 1000, F.greatest(F.lit(0.0), 1 - (mean - 1000) / 1000)).otherwise(1.0)
+    n = F.size(stats["lines"])
+    mean = F.aggregate(stats["lines"], F.lit(0), lambda a, x: a + x) / F.greatest(n, F.lit(1))
+    return F.when(n == 0, 0.2).when(mean < 100, mean / 100).when(mean > 1000, F.greatest(F.lit(0.0), 1 - (mean - 1000) / 1000)).otherwise(1.0)
 
 
 Metric = Callable[[Column, Column, Column], Column]
 
 
 class Registry:
-    """Named metrics with default weights; a metric builds a Column from text, word stats and host."""
+    """Named metrics with default weights; a metric builds a Column from text, its statistics and host."""
 
     def __init__(self, builtin: bool = True):
         self.metrics: dict[str, tuple[Metric, float]] = {}
@@ -144,9 +148,13 @@ BUILTIN = Registry()
 
 
 def with_metrics(df: DataFrame, text: str = "text", host: Column | None = None, registry: Registry = BUILTIN) -> DataFrame:
-    """``df`` with a column per metric; texts without words get zeros."""
+    """``df`` with a column per metric; texts without words get zeros.
+
+    The statistics come out of a generator: a filter on a score is not pushed
+    below it, which would count everything twice.
+    """
     host = F.lit("") if host is None else host
-    stats = df.withColumn("_stats", word_stats(F.coalesce(F.col(text), F.lit(""))))
+    stats = df.withColumn("_stats", F.explode(text_stats(F.coalesce(F.col(text), F.lit("")))))
     value = F.coalesce(F.col(text), F.lit(""))
     made = {k: F.when(F.col("_stats.n") > 0, m(value, F.col("_stats"), host)).otherwise(0.0) for k, (m, _) in registry.metrics.items()}
     return stats.withColumns(made).drop("_stats")

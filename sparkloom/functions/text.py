@@ -90,9 +90,12 @@ def clean_text(text: Column) -> Column:
     text = F.regexp_replace(text, CALLS, "")
 
     def line(x: Column) -> Column:
-        bare = strip(x)
-        letters = F.length(F.regexp_replace(bare, r"[^\p{L}]", ""))
-        return F.when(F.length(bare) == 0, F.lit("")).when((letters >= 0.4 * F.length(bare)) | (F.length(bare) < 20), x)
+        def judged(bare: Column) -> Column:
+            n = F.length(bare)
+            kept = (n < 20) | (F.length(F.regexp_replace(bare, r"[^\p{L}]+", "")) >= 0.4 * n)
+            return F.when(n == 0, F.lit("")).when(kept, x)
+
+        return F.element_at(F.transform(F.array(strip(x)), judged), 1)
 
     lines = F.filter(F.transform(F.split(text, "\n"), line), lambda x: x.isNotNull())
     text = F.regexp_replace(F.array_join(lines, "\n"), r"\n{3,}", "\n\n")

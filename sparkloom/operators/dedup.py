@@ -11,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -52,12 +53,14 @@ def exact_groups(df: DataFrame, text: str = "text", key: str = "doc_id") -> Data
 def simhash_value(text: str | None) -> int:
     """64 bits from md5 of word 3-grams and words: a bit is set if more tokens have it than not."""
     words = WORDS.findall((text or "").lower())
-    grams = [" ".join(x) for x in zip(words, words[1:], words[2:], strict=False)] + words
-    if not grams:
+    if not words:
         return 0
+    grams = Counter(words)
+    grams.update(" ".join(x) for x in zip(words, words[1:], words[2:], strict=False))
     raw = np.frombuffer(b"".join(hashlib.md5(g.encode("utf-8", "surrogatepass")).digest()[:8] for g in grams), dtype=np.uint8)
-    ones = np.unpackbits(raw.reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > len(grams), bitorder="little").view("<i8")[0])
+    times = np.fromiter(grams.values(), np.float32, len(grams))
+    ones = times @ np.unpackbits(raw.reshape(-1, 8), axis=1, bitorder="little").astype(np.float32)
+    return int(np.packbits(ones * 2 > times.sum(), bitorder="little").view("<i8")[0])
 
 
 def simhash(text: Column) -> Column:
@@ -93,7 +96,7 @@ def simhash_pairs(signed: DataFrame, key: str = "doc_id", threshold: int = 3) ->
 
 def simhash_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: int = 3) -> DataFrame:
     """``key``, duplicate_of (the first earlier document near it) and similarity of each near-duplicate."""
-    signed = docs.select(key, simhash(F.col(text)).alias("fp"))
+    signed = docs.select(key, simhash(F.col(text)).alias("fp")).persist()  # two longs a row, read three times
     pairs = simhash_pairs(signed, key, threshold)
     both = pairs.select("fp", F.col("fp2").alias("other"), "distance").union(pairs.select("fp2", "fp", "distance"))
     first = signed.where("fp <> 0").groupBy("fp").agg(F.min(key).alias("least"))
@@ -147,7 +150,7 @@ def minhash_pairs(docs: DataFrame, text: str = "text", key: str = "doc_id", thre
     """a < b and similarity of pairs of different signatures that share a band and
     are at least ``threshold`` alike, through each signature's first document."""
     signed = docs.where(F.length(text) >= 5).select(key, minhash(F.col(text), n, seed).alias("sig"))
-    nodes = signed.groupBy("sig").agg(F.min(key).alias("id"))
+    nodes = signed.groupBy("sig").agg(F.min(key).alias("id")).persist()  # read three times
     rows = n // bands
     band = F.array(*(F.struct(F.lit(i).alias("t"), F.xxhash64(F.slice("sig", i * rows + 1, rows)).alias("k")) for i in range(bands)))
     keyed = nodes.withColumn("m", F.explode(band)).select("id", "m.t", "m.k")
