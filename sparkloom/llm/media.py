@@ -255,11 +255,15 @@ def feature(track: Track) -> str:
 def wrapped(df: DataFrame, text: str = "text", media: str = "media") -> DataFrame:
     """``df`` with each whole text's padded UTF-8 bytes as an ISO media column."""
 
-    @F.arrow_udf("binary")
-    def store(values: pa.Array) -> pa.Array:
-        return pa.array([wrap(padded(x)) for x in values.to_pylist()], pa.binary())
-
-    return df.withColumn(media, store(F.col(text).cast("binary")))
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_batches(batches, text):
+            files = pa.array([wrap(padded(None if x is None else x.encode("utf-8", "surrogatepass"))) for x in texts], pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns, files], [*part.schema.names, media])
+
+    if media in df.columns:
+        raise ValueError(f"there is a column {media} already")
+    kept = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in df.schema)
+    return df.mapInArrow(store, f"{kept}, `{media}` binary")
 
 
 TRACKS = "array<struct<kind:string,codec:string,timescale:bigint,duration:bigint,seconds:double,n_samples:bigint,keyframes:array<struct<offset:bigint,length:bigint>>>>"
