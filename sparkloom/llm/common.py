@@ -31,9 +31,23 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_made: list[str] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/loom/{name}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_dir(spark)}/loom/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def clear(spark: SparkSession) -> int:
+    """Delete the intermediate tables and archives that this process has written;
+    to be called when their results are no longer read. Their number."""
+    count = len(_made)
+    while _made:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return count
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

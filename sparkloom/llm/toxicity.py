@@ -186,7 +186,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, t
     """text and label of at most ``most`` labelled rows outside the held-out fold,
     the first by a hash of their id; written, as it is read more than once."""
     fold = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
-    ids = fold.groupBy(key).agg(F.max(label).cast("int").alias("_label")).orderBy(F.xxhash64(key), key).limit(most)
+    ids = fold.groupBy(key).agg((F.max(label) > 0).cast("int").alias("_label")).orderBy(F.xxhash64(key), key).limit(most)
     rows = docs.select(F.col(key), F.col(text).alias("_text")).join(F.broadcast(ids), key)  # at most ``most`` short rows
     return written(rows.select(F.col("_text").alias("text"), F.col("_label").alias("label"), F.xxhash64(key).alias("at")).where("text is not null").dropDuplicates(["text"]), "sample")
 

@@ -90,3 +90,8 @@ def test_ftrl_learns_and_stays_sparse():
         model.learn(index, np.full(len(index), len(index) ** -0.5), y)
     w = model.weights(slice(None))
     assert w[1] > 1 and w[2] < -1 and np.abs(w[10:1000]).max() < w[1]
+
+
+def test_intermediate_tables_can_be_cleared(spark):
+    made = common.written(spark.range(3), "t")
+    assert made.count() == 3 and common.clear(spark) >= 1 and common.clear(spark) == 0
