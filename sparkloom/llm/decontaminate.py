@@ -190,12 +190,20 @@ class Index:
         return sorted(out.values())
 
 
-def searched(own: Index, texts: list[str | None]) -> list[list[tuple[int, int, int, int]]]:
-    """search() of each text, several texts at once."""
+def searched(own: Index, texts: list[str | None], most: int = 1 << 20) -> list[list[tuple[int, int, int, int]]]:
+    """search() of each text, several short texts at once. Texts of over ``most``
+    characters are searched in parts that overlap by the longest place."""
     out: list[list] = [[] for _ in texts]
     held: list[tuple[int, str]] = []
     size = 0
 
+    def long(whole: str) -> list[tuple[int, int, int, int]]:
+        found = {}
+        for at in range(0, len(whole), most):
+            for w, start, end, cost in own.search(whole[at : at + most + own.longest]):
+                found.setdefault((w, (at + end) // own.rule.band), (w, at + start, at + end, cost))
+        return sorted(found.values())
+
     def flush() -> None:
         if not held:
             return
@@ -208,7 +216,9 @@ def searched(own: Index, texts: list[str | None]) -> list[list[tuple[int, int, i
 
     for i, text in enumerate(texts):
         whole = normal(text)
-        if len(whole) >= own.rule.least - own.rule.band:
+        if len(whole) > most:
+            out[i] = long(whole)
+        elif len(whole) >= own.rule.least - own.rule.band:
             held.append((i, whole))
             size += len(whole)
         if size > 1 << 18:

@@ -46,6 +46,8 @@ def test_no_place_within_the_budget_is_missed():
         _, item = rng.choice(items)
         texts.append(f"{prose(rng.randint(0, 30))} {mutate(rng, item, rng.randint(0, 8))} {prose(rng.randint(0, 30))}" if i % 3 else prose(60))
     found = dc.searched(own, texts)
+    parts = dc.searched(own, texts, most=150)
+    assert [{w for w, *_ in hits} for hits in parts] == [{w for w, *_ in hits} for hits in found]
     for text, hits in zip(texts, found, strict=True):
         whole = dc.normal(text)
         got = {w for w, *_ in hits}
