@@ -146,23 +146,43 @@ def jaccard(a: Column, b: Column) -> Column:
     return equal / F.size(a)
 
 
-def minhash_pairs(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = 0.5, n: int = 128, bands: int = 32, seed: int = 42) -> DataFrame:
-    """a < b and similarity of pairs of different signatures that share a band and
-    are at least ``threshold`` alike, through each signature's first document."""
-    signed = docs.where(F.length(text) >= 5).select(key, minhash(F.col(text), n, seed).alias("sig"))
-    nodes = signed.groupBy("sig").agg(F.min(key).alias("id")).persist()  # read three times
+def _signed(docs: DataFrame, text: str, key: str, n: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Rows as ``key`` and the two halves h, g of a 128-bit hash of the signature; and
+    id (the first row), h, g and sig of each signature. Texts under five characters have none."""
+    rows = docs.where((F.length(text) >= 5) & F.col(key).isNotNull()).select(key, minhash(F.col(text), n, seed).alias("sig"))
+    rows = rows.select(key, "sig", F.xxhash64("sig").alias("h"), F.xxhash64(F.lit(1), "sig").alias("g")).persist()
+    return rows, rows.groupBy("h", "g").agg(F.min(key).alias("id"), F.first("sig").alias("sig")).persist()
+
+
+def _near_signatures(nodes: DataFrame, threshold: float, n: int, bands: int) -> DataFrame:
+    """a < b and similarity of the different signatures that share a band."""
     rows = n // bands
     band = F.array(*(F.struct(F.lit(i).alias("t"), F.xxhash64(F.slice("sig", i * rows + 1, rows)).alias("k")) for i in range(bands)))
     keyed = nodes.withColumn("m", F.explode(band)).select("id", "m.t", "m.k")
     near = keyed.join(keyed.withColumnRenamed("id", "id2"), ["t", "k"]).where("id < id2").select("id", "id2").distinct()
-    near = near.join(nodes, "id").join(nodes.select(F.col("id").alias("id2"), F.col("sig").alias("sig2")), "id2")
+    near = near.join(nodes.select("id", "sig"), "id").join(nodes.select(F.col("id").alias("id2"), F.col("sig").alias("sig2")), "id2")
     return near.select(F.col("id").alias("a"), F.col("id2").alias("b"), jaccard(F.col("sig"), F.col("sig2")).alias("similarity")).where(F.col("similarity") >= threshold)
 
 
+def minhash_pairs(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = 0.5, n: int = 128, bands: int = 32, seed: int = 42) -> DataFrame:
+    """a < b and similarity of pairs at least ``threshold`` alike that share a band. Different signatures
+    are joined through their first documents; every further document of a signature
+    has a pair with its first, of similarity 1, which is its membership."""
+    rows, nodes = _signed(docs, text, key, n, seed)
+    copies = rows.join(nodes.select("h", "g", "id"), ["h", "g"]).where(F.col("id") < F.col(key))
+    return _near_signatures(nodes, threshold, n, bands).unionByName(copies.select(F.col("id").alias("a"), F.col(key).alias("b"), F.lit(1.0).alias("similarity")))
+
+
 def minhash_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = 0.5, n: int = 128, seed: int = 42) -> DataFrame:
     """``key``, duplicate_of and similarity: the first earlier document at least ``threshold`` alike."""
-    pairs = minhash_pairs(docs, text, key, threshold, n, seed=seed)
-    return pairs.groupBy(F.col("b").alias(key)).agg(F.min_by(F.struct(F.col("a").alias("duplicate_of"), "similarity"), "a").alias("best")).select(key, "best.*")
+    rows, nodes = _signed(docs, text, key, n, seed)
+    pairs = _near_signatures(nodes, threshold, n, 32)
+    near = pairs.select(F.col("b").alias("id"), F.col("a").alias("duplicate_of"), "similarity")
+    # A signature's first document is alike to all its others.
+    near = near.unionByName(nodes.select("id", F.col("id").alias("duplicate_of"), F.lit(1.0).alias("similarity")))
+    best = near.groupBy("id").agg(F.min(F.struct("duplicate_of", "similarity")).alias("best"))
+    member = nodes.select("h", "g", "id").join(best, "id").select("h", "g", "best")
+    return rows.join(member, ["h", "g"]).where(F.col("best.duplicate_of") < F.col(key)).select(key, "best.*")
 
 
 # -- embeddings -------------------------------------------------------------

@@ -87,6 +87,26 @@ def test_simhash_and_minhash_duplicates(spark):
     assert dedup.simhash_value("") == 0 and not dedup.minhash_value("abc", *dedup.permutations()).any()
 
 
+def brute_minhash(texts, threshold):
+    """The first earlier text at least ``threshold`` alike, by all pairs."""
+    sigs = {i: dedup.minhash_value(t, *dedup.permutations()) for i, t in texts.items() if t and len(t) >= 5}
+    out = {}
+    for i in sorted(sigs):
+        if found := [(j, float((sigs[i] == sigs[j]).mean())) for j in sorted(sigs) if j < i and (sigs[i] == sigs[j]).mean() >= threshold]:
+            out[i] = found[0]
+    return out
+
+
+def test_minhash_copies(spark):
+    near = PANGRAM + " and back"
+    texts = {1: PANGRAM, 2: near, 3: PANGRAM, 4: near, 5: "something else entirely was written here", 6: PANGRAM.upper(), 7: near, 8: "abc", 9: "abc", 10: None}
+    d = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["duplicate_of"], r["similarity"]) for r in dedup.minhash_duplicates(d).collect()}
+    assert got == brute_minhash(texts, 0.5) and {i: x[0] for i, x in got.items()} == dict.fromkeys((2, 3, 4, 6, 7), 1)
+    pairs = {(r["a"], r["b"]): r["similarity"] for r in dedup.minhash_pairs(d).collect()}
+    assert set(pairs) == {(1, 2), (1, 3), (1, 6), (2, 4), (2, 7)} and pairs[1, 3] == pairs[2, 7] == 1
+
+
 def test_cosine_duplicates(spark):
     rng = np.random.default_rng(0)
     base = rng.standard_normal((30, 16))
