@@ -146,6 +146,31 @@ def jaccard(a: Column, b: Column) -> Column:
     return equal / F.size(a)
 
 
+def tables_for(threshold: float, n: int = 128, rows: int = 4, miss: float = 1e-4) -> int:
+    """Tables of ``rows`` random entries, so that a pair of signatures with the
+    threshold's share of ``n`` entries equal meets in none with probability ``miss`` at most."""
+    equal = math.ceil(threshold * n - 1e-9)
+    same = math.prod((equal - i) / (n - i) for i in range(rows))
+    return 1 if same >= 1 else max(1, math.ceil(math.log(miss) / math.log(1 - same)))
+
+
+def _sketches(sigs: np.ndarray) -> np.ndarray:
+    """A bit of each entry, in words: signatures with a share s of entries equal agree in s + (1 - s) / 2 of the bits."""
+    mixed = sigs.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(63)
+    return np.packbits(mixed.astype(np.uint8), axis=1).reshape(len(sigs), -1)
+
+
+def _apart(n: int, threshold: float) -> int:
+    """Differing sketch bits that a pair at the threshold exceeds with a probability of 3e-5 at most: four
+    standard deviations over the mean."""
+    free = n - math.ceil(threshold * n - 1e-9)
+    return math.ceil(free / 2 + 4 * math.sqrt(free) / 2)
+
+
+def _matrix(sigs: pa.Array, n: int) -> np.ndarray:
+    return sigs.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(-1, n)
+
+
 def _signed(docs: DataFrame, text: str, key: str, n: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """Rows as ``key`` and the two halves h, g of a 128-bit hash of the signature; and
     id (the first row), h, g and sig of each signature. Texts under five characters have none."""
@@ -154,30 +179,126 @@ def _signed(docs: DataFrame, text: str, key: str, n: int, seed: int) -> tuple[Da
     return rows, rows.groupBy("h", "g").agg(F.min(key).alias("id"), F.first("sig").alias("sig")).persist()
 
 
-def _near_signatures(nodes: DataFrame, threshold: float, n: int, bands: int) -> DataFrame:
-    """a < b and similarity of the different signatures that share a band."""
-    rows = n // bands
-    band = F.array(*(F.struct(F.lit(i).alias("t"), F.xxhash64(F.slice("sig", i * rows + 1, rows)).alias("k")) for i in range(bands)))
-    keyed = nodes.withColumn("m", F.explode(band)).select("id", "m.t", "m.k")
-    near = keyed.join(keyed.withColumnRenamed("id", "id2"), ["t", "k"]).where("id < id2").select("id", "id2").distinct()
-    near = near.join(nodes.select("id", "sig"), "id").join(nodes.select(F.col("id").alias("id2"), F.col("sig").alias("sig2")), "id2")
-    return near.select(F.col("id").alias("a"), F.col("id2").alias("b"), jaccard(F.col("sig"), F.col("sig2")).alias("similarity")).where(F.col("similarity") >= threshold)
+def _keys(sig: Column, tables: int, n: int, seed: int, rows: int = 4) -> Column:
+    """One key a table, of the ``rows`` entries that are the table's."""
+    rng = np.random.default_rng(seed)
+    chosen = np.array([rng.choice(n, rows, replace=False) for _ in range(tables)])
+    odd = rng.integers(1, 1 << 62, rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    @F.arrow_udf("array<bigint>")
+    def keys(sigs: pa.Array) -> pa.Array:
+        m = _matrix(sigs, n).view(np.uint64)
+        out = np.zeros((len(m), tables), dtype=np.uint64)
+        for i in range(rows):
+            out = (out ^ (out >> np.uint64(29))) * odd[i] + m[:, chosen[:, i]]
+        flat = pa.array((out * odd[0]).view(np.int64).ravel())
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1, dtype=np.int32) * tables), flat)
 
+    return keys(sig)
 
-def minhash_pairs(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = 0.5, n: int = 128, bands: int = 32, seed: int = 42) -> DataFrame:
-    """a < b and similarity of pairs at least ``threshold`` alike that share a band. Different signatures
+
+def minhash_pairs(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = 0.5, n: int = 128, seed: int = 42) -> DataFrame:
+    """a < b and similarity of pairs at least ``threshold`` alike. Different signatures
     are joined through their first documents; every further document of a signature
     has a pair with its first, of similarity 1, which is its membership."""
     rows, nodes = _signed(docs, text, key, n, seed)
+    keyed = nodes.select("id", F.posexplode(_keys(F.col("sig"), tables_for(threshold, n), n, seed)).alias("t", "k"))
+    near = keyed.join(keyed.withColumnRenamed("id", "id2"), ["t", "k"]).where("id < id2").select("id", "id2").distinct()
+    near = near.join(nodes.select("id", "sig"), "id").join(nodes.select(F.col("id").alias("id2"), F.col("sig").alias("sig2")), "id2")
+    near = near.select(F.col("id").alias("a"), F.col("id2").alias("b"), jaccard(F.col("sig"), F.col("sig2")).alias("similarity")).where(F.col("similarity") >= threshold)
     copies = rows.join(nodes.select("h", "g", "id"), ["h", "g"]).where(F.col("id") < F.col(key))
-    return _near_signatures(nodes, threshold, n, bands).unionByName(copies.select(F.col("id").alias("a"), F.col(key).alias("b"), F.lit(1.0).alias("similarity")))
+    return near.unionByName(copies.select(F.col("id").alias("a"), F.col(key).alias("b"), F.lit(1.0).alias("similarity")))
+
+
+def _eligible(t: np.ndarray, k: np.ndarray, ids: np.ndarray, limits: np.ndarray, sketches: np.ndarray, apart: int, most: int = 1 << 21):
+    """(id, earlier id) of rows, sorted by (t, k, id), that share t and k, where the
+    earlier id is under the row's limit and the sketches are near; in blocks."""
+    new = np.r_[True, (t[1:] != t[:-1]) | (k[1:] != k[:-1])]
+    bucket = np.cumsum(new) - 1
+    start = np.flatnonzero(new)[bucket]
+    values = np.unique(np.concatenate([ids, limits]))
+    place = bucket * len(values) + np.searchsorted(values, ids)
+    count = np.searchsorted(place, bucket * len(values) + np.searchsorted(values, limits)) - start
+    left = np.flatnonzero(count)
+    total = np.cumsum(count[left])
+    at = 0
+    while at < len(left):
+        stop = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, side="right")))
+        part = left[at:stop]
+        many = count[part]
+        a = np.repeat(part, many)
+        b = np.repeat(start[part], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        near = np.bitwise_count(sketches[a] ^ sketches[b]).sum(axis=1, dtype=np.int64) <= apart
+        yield ids[a[near]], ids[b[near]]
+        at = stop
 
 
 def minhash_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = 0.5, n: int = 128, seed: int = 42) -> DataFrame:
-    """``key``, duplicate_of and similarity: the first earlier document at least ``threshold`` alike."""
+    """``key``, duplicate_of and similarity: the first earlier document at least ``threshold`` alike.
+
+    Every signature is compared with a bounded set of pivots, the first members of
+    large buckets. A match is a bound: only earlier documents are still of
+    interest, so large groups do not give all their pairs. Signatures that share
+    a table's key and whose sketches are near are compared in full.
+    """
     rows, nodes = _signed(docs, text, key, n, seed)
-    pairs = _near_signatures(nodes, threshold, n, 32)
-    near = pairs.select(F.col("b").alias("id"), F.col("a").alias("duplicate_of"), "similarity")
+    apart, never = _apart(n, threshold), np.iinfo(np.int64).max
+    tables = tables_for(threshold, n)
+    some = nodes.select("id", F.posexplode(_keys(F.col("sig"), min(tables, 16), n, seed)).alias("t", "k"))
+    hot = some.groupBy("t", "k").agg(F.min("id").alias("id"), F.count("*").alias("n")).where("n > 32")
+    hot = hot.groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").limit(2048)
+    picked = nodes.join(hot, "id").select("id", "sig").orderBy("id").toArrow()
+    pivots = _matrix(picked["sig"].combine_chunks(), n) if len(picked) else np.zeros((0, n), dtype=np.int64)
+    held = docs.sparkSession.sparkContext.broadcast((picked["id"].to_numpy(), pivots))
+
+    def bounded(batches):
+        known, sigs = held.value
+        theirs = _sketches(sigs).view(np.uint64) if len(sigs) else None
+        for batch in batches:
+            ids, own = batch.column("id").to_numpy(), _matrix(batch.column("sig"), n)
+            sketch = _sketches(own)
+            words = sketch.view(np.uint64)
+            bound, share = np.full(len(ids), never), np.zeros(len(ids))
+            for i in range(len(ids) if len(known) else 0):
+                before = int(np.searchsorted(known, ids[i]))
+                near = np.flatnonzero(np.bitwise_count(theirs[:before] ^ words[i]).sum(axis=1, dtype=np.int64) <= apart)
+                for part in np.split(near, range(64, len(near), 64)):
+                    equal = (sigs[part] == own[i]).mean(axis=1)
+                    if (good := np.flatnonzero(equal >= threshold)).size:
+                        bound[i], share[i] = known[part[good[0]]], equal[good[0]]
+                        break
+            flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(n // 8), len(ids), [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("sig"), pa.array(bound), pa.array(share), flat], ["id", "sig", "bound", "share", "sketch"])
+
+    nodes_bound = nodes.select(F.col("id").cast("bigint").alias("id"), "sig").mapInArrow(bounded, "id bigint, sig array<bigint>, bound bigint, share double, sketch binary").persist()
+
+    def met(batches):
+        names, rest = ("t", "k", "id", "bound"), None
+        for batch in batches:
+            cols = [batch.column(x).to_numpy() for x in names]
+            cols.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(batch), -1))
+            rest = cols if rest is None else [np.concatenate(x) for x in zip(rest, cols, strict=True)]
+            t, k = rest[0], rest[1]
+            if not len(t):
+                continue
+            # The last bucket may go on in the next batch.
+            cut = int(np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (k[1:] != k[:-1])])[-1])
+            done, rest = [x[:cut] for x in rest], [x[cut:] for x in rest]
+            if cut:
+                yield from paired(*done)
+        if rest is not None and len(rest[0]):
+            yield from paired(*rest)
+
+    def paired(t, k, ids, bound, sketch):
+        for a, b in _eligible(t, k, ids, np.minimum(ids, bound), sketch, apart):
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["id", "id2"])
+
+    keyed = nodes_bound.select("id", "bound", "sketch", F.posexplode(_keys(F.col("sig"), tables, n, seed)).alias("t", "k"))
+    near = keyed.repartition("t", "k").sortWithinPartitions("t", "k", "id").mapInArrow(met, "id bigint, id2 bigint").distinct()
+    near = near.join(nodes_bound.select("id", "sig"), "id").join(nodes_bound.select(F.col("id").alias("id2"), F.col("sig").alias("sig2")), "id2")
+    near = near.select("id", F.col("id2").alias("duplicate_of"), jaccard(F.col("sig"), F.col("sig2")).alias("similarity")).where(F.col("similarity") >= threshold)
+    near = near.unionByName(nodes_bound.where(F.col("bound") < never).select("id", F.col("bound").alias("duplicate_of"), F.col("share").alias("similarity")))
     # A signature's first document is alike to all its others.
     near = near.unionByName(nodes.select("id", F.col("id").alias("duplicate_of"), F.lit(1.0).alias("similarity")))
     best = near.groupBy("id").agg(F.min(F.struct("duplicate_of", "similarity")).alias("best"))

@@ -52,7 +52,7 @@ def minhash_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def dup_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.minhash_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=0.8)
+    return D.minhash_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=0.5)
 
 
 @query()

@@ -107,6 +107,29 @@ def test_minhash_copies(spark):
     assert set(pairs) == {(1, 2), (1, 3), (1, 6), (2, 4), (2, 7)} and pairs[1, 3] == pairs[2, 7] == 1
 
 
+def test_minhash_misses_no_pair_at_the_threshold(spark, monkeypatch):
+    # Signatures given as text; each pair is equal in 64 of 128 entries and in no run of four.
+    monkeypatch.setattr(dedup, "minhash", lambda text, n, seed: F.transform(F.split(text, " "), lambda x: x.cast("bigint")))
+    rng, rows = np.random.default_rng(6), []
+    for i in range(60):
+        a = rng.integers(0, 1 << 60, 128)
+        b = a.copy()
+        b[np.arange(128) % 4 < 2] += 1 + rng.integers(0, 1 << 20, 64)
+        rows += [(2 * i, " ".join(map(str, a))), (2 * i + 1, " ".join(map(str, b)))]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(map(tuple, dedup.minhash_duplicates(d).collect())) == [(2 * i + 1, 2 * i, 0.5) for i in range(60)]
+    assert sorted(map(tuple, dedup.minhash_pairs(d).collect())) == [(2 * i, 2 * i + 1, 0.5) for i in range(60)]
+
+
+def test_minhash_in_a_large_group(spark):
+    rng = random.Random(8)
+    base = [f"word{rng.randrange(500)}" for _ in range(60)]
+    texts = {i: " ".join(w if rng.random() > 0.04 * (i % 6) else f"x{rng.randrange(99)}" for w in base) for i in range(150)}
+    texts |= {200 + i: " ".join(f"y{rng.randrange(9999)}" for _ in range(30)) for i in range(20)}
+    d = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    assert {r["doc_id"]: (r["duplicate_of"], r["similarity"]) for r in dedup.minhash_duplicates(d).collect()} == brute_minhash(texts, 0.5)
+
+
 def test_cosine_duplicates(spark):
     rng = np.random.default_rng(0)
     base = rng.standard_normal((30, 16))
