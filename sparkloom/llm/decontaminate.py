@@ -180,13 +180,14 @@ class Index:
             stop = low + 2 * self.rule.band + len(pattern)
             exact = text.find(self.texts[w], start, stop)
             if exact >= 0:
-                out[w, exact] = (w, exact, exact + len(pattern), 0)
+                out[w, exact, True] = (w, exact, exact + len(pattern), 0)
                 continue
             region = np.concatenate([np.full(shift, 0xFFFFFFFE, dtype=np.uint32), values[start:stop]])
             cost, end = edits(pattern, region, 2 * self.rule.band + 1)
             if cost <= self.budgets[w]:
                 end = end - shift + start
-                out[w, end // self.rule.band] = (w, max(0, end - len(pattern)), end, cost)
+                # Exact starts and edited ends are told apart, so that none takes another's place.
+                out[w, end // self.rule.band, False] = (w, max(0, end - len(pattern)), end, cost)
         return sorted(out.values())
 
 

@@ -147,3 +147,16 @@ def test_pii_query(spark, tmp_path):
     got = {r["doc_id"]: r for r in queries.op8_pii(spark, str(tmp_path)).collect()}
     assert got[1]["n_found"] == 2 and got[1]["kinds"] == "email,phone" and "a.b@" not in got[1]["text"]
     assert [got[k]["text"] for k in (2, 3, 4)] == [None, "", "nothing here"] and got[5]["kinds"] == "card"
+
+
+def test_exact_and_edited_places_do_not_collide():
+    rng = random.Random(5)
+    words = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    item = words(12)
+    own = dc.Index([(0, item)])
+    edited = item[:30] + "z" + item[31:]
+    # The exact copy starts at 102 of the joined texts; the edited one ends at about eight times that.
+    first = f"{words(17)} {item}"
+    for pad in range(60, 115):
+        texts = [first, f"{words(pad)} {edited}"]
+        assert [len(x) > 0 for x in dc.searched(own, texts)] == [True, True], pad
