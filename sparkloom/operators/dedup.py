@@ -365,6 +365,20 @@ def cosine_duplicates(vectors: DataFrame, threshold: float = 0.95, vector: str =
     return gone.union(copies).union(equal).distinct()
 
 
+def cosine_nearest(vectors: DataFrame, threshold: float = 0.95, vector: str = "embedding", key: str = "vec_id") -> DataFrame:
+    """``key``, duplicate_of (the most similar earlier row at least ``threshold`` alike, the
+    first of equals) and similarity. A copy's most similar is the first row of its vector."""
+    pairs = cosine_pairs(vectors, threshold, vector, key, inclusive=True)
+    # Rounded, so that ties do not depend on the order of sums.
+    best = pairs.groupBy(F.col("b").alias(key)).agg(F.max(F.struct(F.round("similarity", 12).alias("s"), (-F.col("a")).alias("a"))).alias("x"))
+    found = best.select(key, (-F.col("x.a")).alias("duplicate_of"), F.col("x.s").alias("similarity"))
+    first = vectors.where(F.col(vector).isNotNull()).groupBy(vector).agg(F.min(key).alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    # A zero vector is not alike to anything, its copies neither.
+    zero = F.forall(vector, lambda x: x == 0)
+    copies = vectors.join(first, vector).where((F.col(key) > F.col("_first")) & ~zero).select(key, F.col("_first").alias("duplicate_of"), F.lit(1.0).alias("similarity"))
+    return found.unionByName(copies)
+
+
 def combined(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``key``, reason (simhash before minhash), duplicate_of and similarity."""
     s, m = simhash_duplicates(docs, text, key), minhash_duplicates(docs, text, key)

@@ -72,6 +72,5 @@ def dup_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_VECTORS + f"SELECT b.vec_id, max_by(a.vec_id, {_COSINE}) AS duplicate_of, round(max({_COSINE}), 6) AS similarity FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE {_COSINE} >= 95e-2 GROUP BY 1")
 def dup_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = D.cosine_pairs(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), inclusive=True)
-    best = pairs.groupBy(F.col("b").alias("vec_id")).agg(F.max_by(F.struct("a", "similarity"), "similarity").alias("x"))
-    return best.select("vec_id", F.col("x.a").alias("duplicate_of"), F.round("x.similarity", 6).alias("similarity"))
+    found = D.cosine_nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.withColumn("similarity", F.round("similarity", 6))

@@ -139,6 +139,21 @@ def test_cosine_duplicates(spark):
     assert sorted(r[0] for r in dedup.cosine_duplicates(d, keep="last").collect()) == [3, 4, 101]
 
 
+def test_cosine_nearest_of_copies(spark):
+    rng = np.random.default_rng(7)
+    base = rng.standard_normal((12, 16)).astype(np.float32).astype(float)
+    v = {i: x for i, x in enumerate(base)} | {20: base[3] + 0.01, 21: base[3] + 0.01, 22: base[3], 23: base[4], 24: base[4], 25: base[3] + 0.01, 26: np.zeros(16), 27: np.zeros(16)}
+    d = spark.createDataFrame([(i, x.tolist()) for i, x in v.items()], "vec_id bigint, embedding array<double>")
+    unit = {i: x / max(np.linalg.norm(x), 1e-10) for i, x in v.items()}
+    want = {}
+    for i in v:
+        near = [(round(float(unit[i] @ unit[j]), 9), -j) for j in v if j < i and unit[i] @ unit[j] >= 0.95]
+        if near:
+            want[i] = (-max(near)[1], max(near)[0])
+    got = {r["vec_id"]: (r["duplicate_of"], round(r["similarity"], 9)) for r in dedup.cosine_nearest(d).collect()}
+    assert got == want and set(got) == {20, 21, 22, 23, 24, 25}
+
+
 def test_bloom():
     b = dedup.Bloom(500)
     urls = [f"https://x.com/{i}" for i in range(500)]
