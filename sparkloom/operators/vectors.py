@@ -124,35 +124,58 @@ def fps_euclidean(vectors: np.ndarray, quality: np.ndarray, k: int, alpha: float
     return chosen
 
 
-def fps_sample(df: DataFrame, k: int, vector: str = "embedding", key: str = "vec_id", quality: str = "quality", alpha: float = 1.0, shard_rows: int = 20_000, min_quality: float = 0.0) -> DataFrame:
-    """``key``, rank and novelty of a quality-weighted farthest-point sample.
+def fps_sample(df: DataFrame, k: int, vector: str = "embedding", key: str = "vec_id", quality: str = "quality", alpha: float = 1.0, shard_rows: int = 1024, min_quality: float = 0.0) -> DataFrame:
+    """``key``, rank and novelty of a quality-weighted farthest-point sample: that of fps_cosine over all rows.
 
-    Farthest points are sequential, so a large table is sampled in two rounds:
-    every shard of about ``shard_rows`` rows gives its own k, and the k are
-    taken from these. Up to one shard the result is exact.
+    A round takes the ``shard_rows`` rows of largest distance x quality^alpha to
+    the points so far. Scores only shrink, so points are chosen among these while
+    they are ahead of all rows left out; then the next round begins.
     """
-    rows = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.col(vector).alias("v"), F.col(quality).cast("double").alias("q"))
-
-    def pick(pdf):
-        import pandas as pd
-
-        pdf = pdf.sort_values("id")
-        got = fps_cosine(pdf["id"].tolist(), np.array(pdf["v"].tolist(), dtype=np.float64), pdf["q"].to_numpy(), k, alpha, min_quality)
-        return pd.DataFrame({"id": [g[0] for g in got], "rank": [g[1] for g in got], "novelty": [g[2] for g in got]})
-
-    n = rows.count()
-    kind = rows.schema["id"].dataType.simpleString()
-    while n > shard_rows and n > k:
-        shards = -(-n // shard_rows)
-        kept = rows.groupBy(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("s")).applyInPandas(pick, f"id {kind}, rank bigint, novelty double")
-        rows = rows.join(kept.select("id"), "id", "left_semi").checkpoint()
-        left = rows.count()
-        if left >= n:
+    spark, kind = df.sparkSession, df.schema[key].dataType.simpleString()
+    rows = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.transform(F.col(vector), lambda x: x.cast("double")).alias("v"), F.col(quality).cast("double").alias("q"))
+    rows = rows.where((F.col("q") >= min_quality) & ~F.isnan("q"))
+    schema = f"{key} {kind}, rank bigint, novelty double"
+    least = rows.select("id").limit(k + 1).count() if k > 0 else 0
+    if least <= k:
+        return spark.createDataFrame([(r["id"], i, 1.0) for i, r in enumerate(rows.select("id").orderBy("id").limit(k).collect())] if k > 0 else [], schema)
+    unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-10)
+    start = rows.orderBy(F.desc("q"), "id").first()
+    chosen, points = [(start["id"], 0, 1.0)], [unit(np.array([start["v"]]))[0]]
+    while len(chosen) < k:
+        held = spark.sparkContext.broadcast(np.array(points))
+
+        def far(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not len(batch):
+                    continue
+                d = 1 - (unit(_matrix(batch.column("v"))) @ held.value.T).max(axis=1)
+                score = d * np.maximum(batch.column("q").to_numpy(), 0.01) ** alpha
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(d), pa.array(score)], [*batch.schema.names, "d", "score"])
+
+        scored = rows.mapInArrow(far, f"id {kind}, v array<double>, q double, d double, score double")
+        scored = scored.where((F.col("d") >= 0) & ~F.col("id").isin([c[0] for c in chosen]))
+        best = scored.orderBy(F.desc("score"), "id").limit(shard_rows + 1).collect()
+        if not best:
+            break
+        # The last of a full list bounds all that are not in it.
+        bound = (-best[-1]["score"], best[-1]["id"]) if len(best) > shard_rows else None
+        ids, d, own = [r["id"] for r in best], np.array([r["d"] for r in best]), unit(np.array([r["v"] for r in best]))
+        weight = np.maximum(np.array([r["q"] for r in best]), 0.01) ** alpha
+        left = np.ones(len(best), dtype=bool)
+        while len(chosen) < k:
+            open_ = np.flatnonzero(left & (d >= 0))
+            if not len(open_):
+                break
+            at = min(open_.tolist(), key=lambda i: (-d[i] * weight[i], ids[i]))
+            if bound is not None and (-d[at] * weight[at], ids[at]) > bound:
+                break
+            chosen.append((ids[at], len(chosen), float(d[at])))
+            points.append(own[at])
+            left[at] = False
+            d = np.minimum(d, 1 - own @ own[at])
+        if bound is None:
             break
-        n = left
-    # At most one shard is left.
-    got = rows.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(lambda pdf: pick(pdf), f"id {kind}, rank bigint, novelty double")
-    return got.withColumnRenamed("id", key)
+    return spark.createDataFrame(chosen, schema)
 
 
 class OnlineSampler:

@@ -210,6 +210,16 @@ def test_fps(spark):
     assert len(vectors.reservoir([(i, v[i], q[i]) for i in range(80)], 40, 0.1)) == 8
 
 
+def test_fps_does_not_depend_on_the_size_of_a_round(spark):
+    rng = np.random.default_rng(14)
+    v, q = rng.standard_normal((600, 8)), rng.random(600)
+    v[300:] = v[:300] * 2
+    df = spark.createDataFrame([(i, x.tolist(), float(y)) for i, (x, y) in enumerate(zip(v, q, strict=True))], "vec_id bigint, embedding array<double>, quality double").repartition(3)
+    want = [(g[0], g[1], round(g[2], 9)) for g in vectors.fps_cosine(list(range(600)), v, q, 15)]
+    for most in (1, 20, 1024):
+        assert [(r["vec_id"], r["rank"], round(r["novelty"], 9)) for r in vectors.fps_sample(df, 15, shard_rows=most).orderBy("rank").collect()] == want
+
+
 def test_graph(spark):
     d = spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (3, "b", "x"), (1, "a", "x"), (4, None, None)], "doc_id bigint, t string, s string")
     e = graph.edges(d, {"topic": F.col("t"), "site": F.col("s")})
