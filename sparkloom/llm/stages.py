@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontaminate, packing, pii, simhash, toxicity
+from sparkloom.llm import decontaminate, packing, pii, shingles, simhash, toxicity
 from sparkloom.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -24,10 +24,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component: that with the smallest id. Rows
+    """One document of each component: that with the smallest id. Documents are
+    linked by SimHash (op10's contract) and by a five-word similarity of 0.8. Rows
     without an id stay; rows that repeat an id stay or go together."""
     found = simhash.near_duplicates(docs)
-    gone = written(found.where("doc_id <> component_id").select("doc_id"), "copies")
+    alike = found.where("doc_id <> component_id").select(F.col("component_id").alias("u"), F.col("doc_id").alias("v"))
+    edges = alike.union(shingles.links(docs)).distinct()
+    gone = written(simhash.components(edges).where("node <> label").select(F.col("node").alias("doc_id")), "copies")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
