@@ -7,7 +7,11 @@ tokens, whatever the corpus holds. The driver packs these counts with vector
 best-fit decreasing, treating equal bins as one class with a multiplicity. Each
 piece then finds its place from its rank among the pieces of its length. Ranks
 come from a window over (length, salt) with the salts' counts added up, so a
-length that a third of the corpus has is dealt to many tasks.
+length that a third of the corpus has is dealt to many tasks. Only the plan is
+broadcast; the salts' counts are joined on the keys that the window deals by.
+
+``packed`` limits the documents of a sequence: to the first of 64, 128, ... that
+needs no more sequences than no limit does.
 
 Defined results: a null text counts as empty, which still has its end token;
 equal rows are separate pieces; an empty table gives an empty result; extra
@@ -18,7 +22,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +44,18 @@ class Capacities:
     weights: tuple[float, float, float] = (1.0, 1.0, 1.0)
     rule: str = "norm"  # or "dot"
 
+    def even(self, counts: dict[int, int], least: int = 64) -> Capacities:
+        """These capacities with the smallest limit on documents, doubled from
+        ``least``, that makes the sequences of ``counts`` no more than no limit does."""
+        free = replace(self, documents=None)
+        aim, limit = sequences(plan(counts, free)), least
+        while limit < self.tokens:
+            held = replace(self, documents=limit)
+            if sequences(plan(counts, held)) <= aim:
+                return held
+            limit *= 2
+        return replace(self, documents=self.tokens)
+
     def vector(self) -> np.ndarray:
         return np.array([self.tokens, self.documents or self.tokens, self.attention or self.tokens**2], dtype=np.int64)
 
@@ -48,6 +64,11 @@ def demand(length: int) -> np.ndarray:
     return np.array([length, 1, length * length], dtype=np.int64)
 
 
+def sequences(rows: list[tuple[int, int, int, int, int, int]]) -> int:
+    """The number of bins of a plan."""
+    return max((first + -(-(end - begin) // each) for _, begin, end, first, each, _ in rows), default=0)
+
+
 def plan(counts: dict[int, int], capacities: Capacities = Capacities()) -> list[tuple[int, int, int, int, int, int]]:
     """(length, first rank, end rank, first bin, pieces a bin, offset) rows that
     place ``counts[length]`` pieces of each length.
@@ -112,8 +133,8 @@ def tokenised_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", s
         names = ["key", "piece", "start", "length", "ids"]
         for part, texts in text_batches(batches, "text"):
             rows, held = [[], [], [], [], []], 0
-            for key, text in zip(part.column(0).to_pylist(), texts, strict=True):
-                ids = own.ids(text) + end
+            for key, ids in zip(part.column(0).to_pylist(), own.ids(texts), strict=True):
+                ids += end
                 n = len(ids) // 4
                 start, piece, stop = 0, 0, n % size or size
                 while start < n:
@@ -131,39 +152,35 @@ def tokenised_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", s
     return rows.mapInArrow(cut, "key bigint, piece int, start bigint, length bigint, ids binary").withColumnRenamed("key", key)
 
 
-def assign_sequences(pieces: DataFrame, capacities: Capacities = Capacities(), key: str = "doc_id", salts: int = 256) -> DataFrame:
+def assign_sequences(pieces: DataFrame, capacities: Capacities | None = None, key: str = "doc_id", salts: int = 256) -> DataFrame:
     """``pieces`` (``key``, piece, length and any others) with sequence_id and offset.
+    Without ``capacities`` those of 1024 tokens and an even limit on documents.
 
     ``pieces`` should be a written table, as it is read twice.
     """
     spark = pieces.sparkSession
     ranked = pieces.withColumn("_salt", F.pmod(F.xxhash64(key, "piece"), F.lit(salts)).cast("int"))
-    counts = ranked.groupBy("length", "_salt").count()
-    # At most (lengths x salts) rows, whatever the corpus.
-    found = counts.toArrow().to_pydict()
-    begins: dict[tuple[int, int], int] = {}
-    totals: dict[int, int] = {}
-    for length, salt, n in sorted(zip(found["length"], found["_salt"], found["count"], strict=True)):
-        begins[length, salt] = totals.get(length, 0)
-        totals[length] = totals.get(length, 0) + n
-    rows = plan(totals, capacities)
-    held = spark.sparkContext.broadcast((begins, rows))
+    counts = written(ranked.groupBy("length", "_salt").agg(F.count("*").alias("_n")), "counts")
+    # At most as many rows as there are lengths, whatever the corpus.
+    totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    capacities = capacities or Capacities().even(totals)
+    held = spark.sparkContext.broadcast(plan(totals, capacities))
+    earlier = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select("length", "_salt", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begin"))
     window = Window.partitionBy("length", "_salt").orderBy(F.col(key).asc_nulls_first(), "piece")
-    ranked = ranked.withColumn("_rank", F.row_number().over(window) - 1)
+    ranked = ranked.withColumn("_rank", F.row_number().over(window) - 1).join(begins, ["length", "_salt"])
+    ranked = ranked.withColumn("_rank", F.col("_begin") + F.col("_rank")).select(*pieces.columns, "_rank")
     names = pieces.columns
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        begins, rows = held.value
-        table = np.array(rows, dtype=np.int64).reshape(-1, 6)
+        table = np.array(held.value, dtype=np.int64).reshape(-1, 6)
         # Rows of one length follow each other in rank, so (length, rank) is ordered.
         table = table[np.lexsort((table[:, 1], table[:, 0]))]
         scale = np.int64(1) << 40
         keys = table[:, 0] * scale + table[:, 1]
         for batch in batches:
             length = batch.column("length").to_numpy(zero_copy_only=False)
-            salt = batch.column("_salt").to_numpy(zero_copy_only=False)
-            begin = np.fromiter((begins[x] for x in zip(length.tolist(), salt.tolist(), strict=True)), np.int64, len(length))
-            rank = begin + batch.column("_rank").to_numpy(zero_copy_only=False)
+            rank = batch.column("_rank").to_numpy(zero_copy_only=False)
             at = table[np.searchsorted(keys, length * scale + rank, side="right") - 1]
             bin_, slot = np.divmod(rank - at[:, 1], at[:, 4]) if len(at) else (rank, rank)
             out = [*(batch.column(x) for x in names), pa.array(at[:, 3] + bin_), pa.array(at[:, 5] + slot * length)]
@@ -173,12 +190,12 @@ def assign_sequences(pieces: DataFrame, capacities: Capacities = Capacities(), k
     return ranked.mapInArrow(place, schema)
 
 
-def packed(docs: DataFrame, capacities: Capacities = Capacities(), text: str = "text", key: str = "doc_id", end_id: int = 2, vocabulary: str = VOCABULARY, ranks: str | None = RANKS) -> DataFrame:
+def packed(docs: DataFrame, capacities: Capacities | None = None, text: str = "text", key: str = "doc_id", end_id: int = 2, vocabulary: str = VOCABULARY, ranks: str | None = RANKS) -> DataFrame:
     """Tokenise and pack: ``key``, piece, start, length, ids_crc32, sequence_id, offset.
 
     Texts are encoded once; the pieces are written without their ids, which
     tokenised_pieces() gives where they are wanted.
     """
-    pieces = tokenised_pieces(docs, text, key, capacities.tokens, end_id, vocabulary, ranks)
+    pieces = tokenised_pieces(docs, text, key, (capacities or Capacities()).tokens, end_id, vocabulary, ranks)
     digests = pieces.select(key, "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     return assign_sequences(written(digests, "pieces"), capacities, key)

@@ -25,8 +25,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Only tokens bind here: a sequence's documents and attention cost follow from its 1024 tokens.
-    return packing.packed(table(spark, sf_dir, "documents"), packing.Capacities(1024, weights=(1.0, 0.0, 0.0)))
+    return packing.packed(table(spark, sf_dir, "documents"))
 
 
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:

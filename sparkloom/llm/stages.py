@@ -49,7 +49,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents and their places in sequences of 1024 tokens."""
-    return packing.packed(docs, packing.Capacities(1024, weights=(1.0, 0.0, 0.0)))
+    return packing.packed(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -7,13 +7,16 @@ anchored at a word's start and one that also ends with a space is a whole word.
 
 The lexicon is learned from labelled rows: a stem or word qualifies if it begins a
 far larger share of the words of toxic rows; of a chain of stems with the same
-rows the longest is taken. The score is a logistic function of the matched weight per word, of the
-matched weight, fitted on the same rows. Matches inside an exception phrase
-do not count. A word that is repeated counts once.
+rows the longest is taken. Matches inside an exception phrase do not count. The
+phrases are a given table and those that are learned: a matched word with a
+neighbour that three clean rows hold and no toxic one. The score is a logistic
+function of the matched weight per word of the whole text and of the densest
+passage of 120 words, fitted on the same rows. A word that is repeated counts
+once.
 
 Defined results: null and empty texts match nothing and get the score of no
-match; repeated rows get equal scores and are learned from once; without
-labelled rows of both kinds a small built-in lexicon is used; extra columns are
+match; repeated rows get equal scores and are learned from once, as toxic if one of
+them is labelled so, wherever the rows lie; without labelled rows of both kinds a small built-in lexicon is used; extra columns are
 not read.
 """
 
@@ -42,6 +45,8 @@ WORD = re.compile(r"[^\W_]+")
 
 #: Used where nothing can be learned.
 BUILT_IN = {"idiot": 3.0, "moron": 3.0, "stupid": 2.0, "worthless": 2.0, "scum": 3.0, "loser": 2.0, "pathetic": 2.0, "disgusting": 2.0}
+#: Words of the passages whose density counts.
+PASSAGE = 120
 #: Phrases in which a word of the lexicon says nothing about the writer's tone.
 EXCEPTIONS = ("clown fish", "trash can", "trash bin", "pond scum")
 
@@ -65,7 +70,7 @@ class Model:
 
     patterns: dict[str, float]
     exceptions: tuple[str, ...] = EXCEPTIONS
-    factors: tuple[float, ...] = (-2.0, 2.0, 1.0)
+    factors: tuple[float, ...] = (-2.5, 1.0, 1.0)
     built: dict = field(default_factory=dict, compare=False, repr=False)
 
     def __getstate__(self) -> dict:
@@ -90,22 +95,56 @@ class Model:
         if not len(a):
             return []
         found: dict[int, tuple[int, float]] = {}
-        free: list[tuple[int, int]] = []
+        free: dict[int, int] = {}  # the end of the exception phrase around each word
         for last, (size, weight) in a.iter(folded):
             start, end = last + 1 - size, last + 1
             if weight is None:
-                free.append((start, end))
+                at = start
+                while 0 <= at < end - 1:
+                    free[at] = max(end, free.get(at, 0))
+                    at = folded.find(" ", at + 1, end)
             elif start not in found or found[start][0] < end:
                 found[start] = (end, weight)
-        return [(s, e, w) for s, (e, w) in sorted(found.items()) if not any(a <= s and e <= b for a, b in free)]
+        return [(s, e, w) for s, (e, w) in sorted(found.items()) if e > free.get(s, 0)]
 
     def features(self, text: str | None) -> tuple[float, float]:
         """Of the different matched words the weight for each hundred different
-        words of the text, and the weight; as logarithms."""
+        words of the text, and for each hundred words of the passage of
+        PASSAGE words that has most; as logarithms."""
         folded = fold(text)
-        weights = {folded[s : folded.index(" ", s + 1)]: w for s, _, w in self.matches(folded)}
-        total, size = sum(weights.values()), len(set(folded.split()))
-        return math.log1p(100 * total / (size + 10)), math.log1p(total)
+        matches = self.matches(folded)
+        if not matches:
+            return 0.0, 0.0
+        places, number, before = [], 0, 0
+        for start, _, weight in matches:
+            number += folded.count(" ", before, start)
+            before = start
+            places.append((number, folded[start : folded.index(" ", start + 1)], weight))
+        total = sum({word: weight for _, word, weight in places}.values())
+        most, low, held = 0.0, 0, Counter()
+        inside = 0.0
+        for number, word, weight in places:
+            while places[low][0] <= number - PASSAGE:
+                held[places[low][1]] -= 1
+                inside -= 0.0 if held[places[low][1]] else places[low][2]
+                low += 1
+            held[word] += 1
+            inside += weight if held[word] == 1 else 0.0
+            most = max(most, inside)
+        words = folded.count(" ") - 1
+        return math.log1p(100 * total / (len(set(folded.split())) + 10)), math.log1p(100 * most / (min(words, PASSAGE) + 10))
+
+    def phrases(self, text: str | None) -> set[str]:
+        """The matched words of a text with the word before and with the word after."""
+        folded, out = fold(text), set()
+        for start, _, _ in self.matches(folded):
+            end = folded.index(" ", start + 1)
+            before, after = folded.rfind(" ", 0, start), folded.find(" ", end + 1)
+            if start > 0 and before >= 0:
+                out.add(folded[before + 1 : end])
+            if after > 0:
+                out.add(folded[start + 1 : after])
+        return out
 
     def score(self, text: str | None) -> float:
         z = sum(f * x for f, x in zip(self.factors, (1.0, *self.features(text)), strict=True))
@@ -183,16 +222,19 @@ def _fit(rows: np.ndarray, truth: np.ndarray, ridge: float = 1e-3) -> np.ndarray
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """text and label of at most ``most`` labelled rows outside the held-out fold,
-    the first by a hash of their id; written, as it is read more than once."""
+    """text, label and at (the least hash of an id) of at most ``most`` labelled rows
+    outside the held-out fold, the first by a hash of their id; each text once, with
+    its highest label. Written, as it is read more than once."""
     fold = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
     ids = fold.groupBy(key).agg((F.max(label) > 0).cast("int").alias("_label")).orderBy(F.xxhash64(key), key).limit(most)
     rows = docs.select(F.col(key), F.col(text).alias("_text")).join(F.broadcast(ids), key)  # at most ``most`` short rows
-    return written(rows.select(F.col("_text").alias("text"), F.col("_label").alias("label"), F.xxhash64(key).alias("at")).where("text is not null").dropDuplicates(["text"]), "sample")
+    once = rows.where("_text is not null").groupBy(F.col("_text").alias("text")).agg(F.max("_label").alias("label"), F.min(F.xxhash64(key)).alias("at"))
+    return written(once, "sample")
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", key: str = "doc_id", most: int = 6000, exceptions: tuple[str, ...] = EXCEPTIONS) -> Model:
-    """A model from at most ``most`` labelled rows outside the held-out fold."""
+def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str = "text", key: str = "doc_id", most: int = 6000, exceptions: tuple[str, ...] = EXCEPTIONS, least_clean: int = 3) -> Model:
+    """A model from at most ``most`` labelled rows outside the held-out fold.
+    ``least_clean``: rows that make a phrase an exception."""
     sample = training_sample(docs, labels, label, most, text, key)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,6 +264,19 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str =
         return DEFAULT
     model = Model(patterns, exceptions)
 
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_batches(batches, "text", 4 << 20):
+            found = (Counter(), Counter())
+            for x, y in zip(texts, part.column("label").to_pylist(), strict=True):
+                found[y].update(model.phrases(x))
+            keys = list(found[0] | found[1])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *(pa.array([c[k] for k in keys], pa.int64()) for c in (found[1], found[0]))], ["phrase", "toxic", "other"])
+
+    phrases = sample.select("text", "label").mapInArrow(near, "phrase string, toxic bigint, other bigint").groupBy("phrase").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
+    # Bounded by the sample, as the stems are.
+    learned = sorted(r["phrase"] for r in phrases.where((F.col("toxic") == 0) & (F.col("other") >= least_clean)).select("phrase").collect())
+    model = Model(patterns, (*exceptions, *learned))
+
     names = ["x", "y", "label"]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,7 +286,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", text: str =
 
     rows = sample.select("text", "label").mapInArrow(measure, "x double, y double, label double").toArrow().sort_by([(n, "ascending") for n in names])
     factors = _fit(np.column_stack([rows[n].to_numpy() for n in names[:2]]), rows["label"].to_numpy())
-    return Model(patterns, exceptions, tuple(map(float, factors)))
+    return Model(patterns, model.exceptions, tuple(map(float, factors)))
 
 
 def toxicity_score(model: Model, text: str | Column = "text") -> Column:

@@ -5,6 +5,8 @@ import zlib
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sparkloom.llm import common, quality, queries, toxicity
@@ -60,6 +62,94 @@ def test_classifiers_on_held_out_rows(spark, tmp_path):
         assert rows[400]["score"] == rows[401]["score"] and rows[402]["score"] == rows[0]["score"]
 
 
+def plain_score(model, text):
+    """The toxicity score by scanning each word for each pattern."""
+    words = toxicity.fold(text).split()
+    exempt = set()
+    for phrase in model.exceptions:
+        own = toxicity.fold(phrase).split()
+        for i in range(len(words) - len(own) + 1):
+            if words[i : i + len(own)] == own:
+                exempt |= set(range(i, i + len(own)))
+    weight = {}
+    for i, w in enumerate(words):
+        fits = [p for p in model.patterns if f" {w} ".startswith(p)]
+        if fits and i not in exempt:
+            weight[i] = model.patterns[max(fits, key=len)]
+    mass = lambda at: sum({words[i]: weight[i] for i in at if i in weight}.values())
+    n = len(words)
+    whole = 100 * mass(range(n)) / (len(set(words)) + 10)
+    best = max((mass(range(i, min(n, i + toxicity.PASSAGE))) for i in range(max(1, n - toxicity.PASSAGE + 1))), default=0.0)
+    dense = 100 * best / (min(n, toxicity.PASSAGE) + 10)
+    z = model.factors[0] + model.factors[1] * np.log1p(whole) + model.factors[2] * np.log1p(dense)
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("idiot Idi0t idiom trash can bin a the scum pond x y z".split()), max_size=400))
+def test_toxicity_against_brute_force(words):
+    model = toxicity.Model({" idi": 1.0, " idiot ": 3.0, " trash ": 2.0, " scum ": 2.5}, ("trash can", "trash bin", "pond scum"))
+    assert model.score(" ".join(words)) == pytest.approx(plain_score(model, " ".join(words)))
+
+
+def test_quality_against_brute_force():
+    """Proximal updates a coordinate at a time, with dictionaries."""
+    rng = random.Random(4)
+    own, z, n = quality.Ftrl(bits=8), {}, {}
+
+    def weight(i):
+        if abs(z.get(i, 0.0)) <= own.l1:
+            return 0.0
+        sign = 1 if z[i] > 0 else -1
+        return -(z[i] - sign * own.l1) / ((own.beta + n[i] ** 0.5) / own.alpha + own.l2)
+
+    texts = [" ".join(rng.choice("aa bb cc dd ee !! ??".split()) for _ in range(rng.randint(1, 30))) for _ in range(150)]
+    for x in texts:
+        y = int(x.count("aa") > x.count("bb"))
+        index, values = quality.ngrams(x, 8)
+        own.learn(index, values, y)
+        row = {**dict(zip(index.tolist(), values.tolist(), strict=True)), 256: 1.0}
+        w = {i: weight(i) for i in row}
+        p = 1 / (1 + np.exp(-sum(w[i] * v for i, v in row.items())))
+        for i, v in row.items():
+            g = (p - y) * v
+            step = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / own.alpha
+            z[i] = z.get(i, 0.0) + g - step * w[i]
+            n[i] = n.get(i, 0.0) + g * g
+    model = quality.Model(own.weights(slice(None)), 8)
+    for x in [*texts, "", None]:
+        index, values = quality.ngrams(x, 8)
+        dot = sum(weight(i) * v for i, v in zip(index.tolist(), values.tolist(), strict=True)) + weight(256)
+        assert model.score(x) == pytest.approx(1 / (1 + np.exp(-dot)))
+
+
+def test_equal_texts_are_learned_alike_wherever_they_lie(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice(["blue", "red", "vile", "nasty", "calm"]) + str(rng.randrange(6)) for _ in range(12)) for _ in range(60)]
+    docs = [(i, texts[i % 60]) for i in range(240)]
+    labels = [(i, rng.randrange(2), int("vile" in texts[i % 60] and rng.random() < 0.8)) for i in range(240)]
+    made = []
+    for n in (1, 7):
+        d = spark.createDataFrame(docs if n == 1 else docs[::-1], "doc_id bigint, text string").repartition(n)
+        y = spark.createDataFrame(labels if n == 1 else labels[::-1], "doc_id bigint, quality int, toxic int").repartition(n)
+        made.append((toxicity.learn(d, y), quality.train(d, y).weights))
+    assert made[0][0] == made[1][0] and (made[0][1] == made[1][1]).all() and made[0][1].any()
+
+
+def test_exceptions_are_learned_and_matter(spark):
+    rng = random.Random(9)
+    filler = lambda n: " ".join(rng.choice("stone river cloud paper table window garden light".split()) + rng.choice("abcdefgh") for _ in range(n))
+    docs, labels = [], []
+    for i in range(300):
+        toxic = i % 3 == 0
+        word = f"vermin {filler(1)}" if toxic else "vermin control" if i % 36 == 1 else ""
+        docs.append((i, f"{filler(15)} {word} {filler(15)}"))
+        labels.append((i, int(toxic)))
+    model = toxicity.learn(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, toxic int"), least_clean=3)
+    assert "vermin control" in model.exceptions
+    assert model.score("call vermin control today") == model.score("") < 0.3 < model.score("call the vermin today")
+
+
 def test_held_out_labels_are_not_learned_from(spark, tmp_path):
     corpus(spark, str(tmp_path), 120)
     docs, labels = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "labels"))
