@@ -9,9 +9,12 @@ credits). The field has the states main and other; it is trained on labelled
 pages made by a seeded generator of page layouts, and decoded by Viterbi.
 
 Defined results: null, empty and markup-free pages of no text give an empty
-text; text outside any element is a block like others; scripts, styles, form
-controls and the head are never text; unclosed and stray tags are closed as
-browsers do in the common cases; repeated pages give equal results.
+text; text outside any element is a block like others; scripts, styles and the
+head are never text, form controls, drawings and templates not where they are
+closed; where they are not, what follows is text as in browsers. Unclosed and
+stray tags are closed as browsers do in the common cases; a tag that never ends
+cuts off the rest, as there. Elements more than DEPTH deep are siblings.
+Repeated pages give equal results.
 """
 
 from __future__ import annotations
@@ -19,10 +22,12 @@ from __future__ import annotations
 import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
 from html import unescape
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,16 +36,30 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm.common import text_batches
 
-MARK = re.compile(r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+)>", re.S)
+#: A tag; quotes count where a value begins.
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?|[\"'])*+)>")
+#: The same up to the next sign that can end it.
+SHORT = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
+COMMENT_END = re.compile(r"--!?>")
+LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 NAMES = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 PARTS = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 # Elements by how HTML treats them.
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset(
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr"
+    " math mfrac mi mn mo mover mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe noframes svg math object select button".split())
+RAW = frozenset("script style textarea title noscript iframe noframes noembed".split())
+#: Elements whose content is no text of the page where they are closed.
+CONTROLS = frozenset("button select object svg template annotation annotation-xml".split())
 #: Raw elements end at their own end tag, whatever stands inside.
-RAW_ENDS = {tag: re.compile(rf"</{tag}\s*>?", re.I) for tag in RAW}
+RAW_ENDS = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I) for tag in RAW}
+#: Elements open at once; browsers stop there too.
+DEPTH = 512
+#: Words of class, id and role that an element has as features.
+WORDS = 32
 #: A start tag ends open elements of these kinds up to the nearest of the stops.
 ENDS = {
     "li": (frozenset(["li"]), frozenset(["ul", "ol", "menu"])),
@@ -51,13 +70,31 @@ ENDS = {
     "th": (frozenset(["td", "th"]), frozenset(["tr", "table"])),
     "option": (frozenset(["option"]), frozenset(["select"])),
 }
+#: All others end an open paragraph, up to these.
+PARAGRAPH = (frozenset(["p"]), frozenset("button object template select svg table td th caption".split()))
 SIGNS = ("cookie", "privacy", "copyright", "©", "all rights reserved", "subscribe", "newsletter", "advert", "sponsored", "comment", "reply", "log in", "login", "sign up", "share", "related", "read more", "menu", "search", "follow us", "terms")
 
 
+class Chain:
+    """The features of an element that none around it has; ``outer``: of the element around it."""
+
+    __slots__ = ("outer", "own")
+
+    def __init__(self, outer: Chain | None, own: tuple[str, ...]):
+        self.outer, self.own = outer, own
+
+    def __iter__(self) -> Iterator[str]:
+        at, found = self, []
+        while at is not None:
+            found.append(at.own)
+            at = at.outer
+        return (x for own in reversed(found) for x in own)
+
+
 @dataclass
 class Block:
     text: str
-    chain: tuple[str, ...]  # features of the ancestors
+    chain: Chain  # features of the ancestors
     tag: str
     linked: int  # characters inside links
 
@@ -73,94 +110,173 @@ def _words(attributes: str) -> list[str]:
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 out.append("hidden")
         else:
-            out += [f".{p.lower()}" for p in PARTS.findall(value) if len(p) > 1]
-    return out
+            out += [f".{p.lower()}" for p in islice((p for p in PARTS.findall(value) if len(p) > 1), WORDS)]
+    return out[:WORDS]
+
+
+@dataclass
+class _Open:
+    """An open element. saved: of a control, the text before it, its place among
+    the blocks and what flush() needs for it."""
+
+    tag: str
+    added: tuple[str, ...]
+    chain: Chain
+    block: str  # the nearest element that is not inline
+    saved: tuple | None = None
+
+
+class _Reader:
+    """Reads a page in one pass; every step is bounded by DEPTH, not by the page."""
+
+    def __init__(self):
+        self.out: list[Block] = []
+        self.stack: list[_Open] = [_Open("", (), Chain(None, ()), "")]
+        self.open: Counter[str] = Counter()
+        self.active: Counter[str] = Counter()
+        self.held: list[str] = []
+        self.linked = self.links = 0
+        self.head = False
+
+    def take(self, piece: str) -> None:
+        self.held.append(piece)
+        self.linked += len(piece) if self.links else 0
+
+    def made(self, held: list[str], linked: int, top: _Open) -> Block | None:
+        text = " ".join(unescape("".join(held)).split())
+        return Block(text, top.chain, top.block, linked) if text and not self.head else None
+
+    def flush(self) -> None:
+        if self.held:
+            if block := self.made(self.held, self.linked, self.stack[-1]):
+                self.out.append(block)
+            self.held = []
+        self.linked = 0
+
+    def push(self, tag: str, attributes: str) -> None:
+        if len(self.stack) > DEPTH:
+            self.leave(len(self.stack) - 1)
+        outer = self.stack[-1]
+        inline = tag in INLINE or tag in CONTROLS
+        features = [*(() if inline else (f"<{tag}",)), *(_words(attributes) if attributes.strip() else ())]
+        own = tuple(x for x in dict.fromkeys(features) if not self.active[x])
+        self.active.update(own)
+        self.open[tag] += 1
+        self.links += tag == "a"
+        self.head = self.head or tag == "head"
+        new = _Open(tag, own, Chain(outer.chain, own) if own else outer.chain, outer.block if inline else tag)
+        if tag in CONTROLS:
+            new.saved = (self.held, self.linked, outer, len(self.out))
+            self.held, self.linked = [], 0
+        self.stack.append(new)
+
+    def leave(self, at: int, drop: bool = False) -> None:
+        """Close the elements from ``at`` on. A control that was not closed itself
+        keeps its text; with ``drop`` the one at ``at`` loses it."""
+        while len(self.stack) > at:
+            one = self.stack[-1]
+            if one.saved and not drop:
+                self.flush()
+                held, linked, outer, place = one.saved
+                if held and (block := self.made(held, linked, outer)):
+                    self.out.insert(place, block)
+            elif one.saved and len(self.stack) == at + 1:
+                held, self.linked, _, place = one.saved
+                self.held = [*held, " "]
+                del self.out[place:]
+            self.stack.pop()
+            self.open[one.tag] -= 1
+            self.links -= one.tag == "a"
+            self.head = self.head and one.tag != "head"
+            self.active.subtract(one.added)
+
+    def nearest(self, tags: frozenset[str], stops: frozenset[str] = frozenset()) -> int:
+        """The place of the innermost open element of ``tags`` inside the innermost of ``stops``, or 0."""
+        if any(self.open[t] for t in tags):
+            for i in range(len(self.stack) - 1, 0, -1):
+                if self.stack[i].tag in tags:
+                    return i
+                if self.stack[i].tag in stops:
+                    break
+        return 0
+
+    def end(self, tag: str) -> None:
+        at = self.nearest(frozenset([tag]))
+        if tag in CONTROLS:
+            if at:
+                self.leave(at, drop=True)
+            return
+        if tag not in INLINE:
+            self.flush()
+        if not at:
+            return
+        if tag in INLINE and any(x.tag not in INLINE for x in self.stack[at:]):
+            # It ends for what follows, and stays where it is in the order.
+            self.open[tag] -= 1
+            self.links -= tag == "a"
+            self.stack[at].tag = "\0"
+            self.open["\0"] += 1
+        else:
+            self.leave(at)
+
+    def begin(self, tag: str, attributes: str) -> None:
+        if tag == "br":
+            self.held.append(" ")
+            return
+        if tag not in INLINE and tag not in CONTROLS:
+            self.flush()
+            self.head = self.head and tag != "body"
+            kinds, stops = ENDS.get(tag, PARAGRAPH)
+            if at := self.nearest(kinds, stops):
+                self.leave(at)
+        foreign = attributes.endswith("/") and (tag in ("svg", "math") or self.open["svg"] or self.open["math"])
+        if tag not in VOID and not foreign:
+            self.push(tag, attributes)
+
+    def read(self, html: str) -> list[Block]:
+        size, at, begin, quoted = len(html), 0, 0, True
+        while (mark := html.find("<", at)) >= 0:
+            sign = html[mark + 1 : mark + 2]
+            m = None
+            if sign in LETTERS or sign == "/" and html[mark + 2 : mark + 3] in LETTERS:
+                m = TAG.match(html, mark) if quoted else None
+                if m is None:
+                    # No end outside quotes is left: tags end at the next sign, or cut off the rest.
+                    quoted = False
+                    m = SHORT.match(html, mark)
+                stop = m.end() if m else size
+            elif sign and sign in "!?" or sign == "/" and mark + 2 < size:
+                if html.startswith("<!--", mark):
+                    found = COMMENT_END.search(html, mark + 2)
+                    stop = found.end() if found else size
+                else:
+                    stop = html.find(">", mark) + 1 or size
+            else:
+                at = mark + 1
+                continue
+            if mark > begin:
+                self.take(html[begin:mark])
+            at = begin = stop
+            if m is None:
+                continue
+            tag = m[2].lower()
+            if m[1]:
+                self.end(tag)
+            elif tag in RAW:
+                found = RAW_ENDS[tag].search(html, stop)
+                at = begin = found.end() if found else size
+            else:
+                self.begin(tag, m[3])
+        if begin < size:
+            self.take(html[begin:])
+        self.flush()
+        self.leave(1)
+        return self.out
 
 
 def blocks(html: str | None) -> list[Block]:
     """The leaf blocks of a page in order."""
-    if not html:
-        return []
-    out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    held: list[str] = []
-    linked = links = 0
-    head = False
-
-    def chain() -> tuple[str, ...]:
-        return tuple(dict.fromkeys(x for tag, more in stack for x in ((f"<{tag}", *more) if tag not in INLINE else more)))
-
-    def flush() -> None:
-        nonlocal linked
-        if held:
-            text = " ".join(unescape("".join(held)).split())
-            if text and not head:
-                tag = next((t for t, _ in reversed(stack) if t not in INLINE), "")
-                out.append(Block(text, chain(), tag, linked))
-            held.clear()
-        linked = 0
-
-    def close(at: int) -> None:
-        nonlocal links, head
-        for tag, _ in stack[at:]:
-            links -= tag == "a"
-            head = head and tag != "head"
-        del stack[at:]
-
-    at, skip = 0, 0
-    for m in MARK.finditer(html):
-        if m.start() < skip:
-            continue
-        piece = html[at : m.start()]
-        at = m.end()
-        if piece:
-            held.append(piece)
-            linked += len(piece) if links else 0
-        tag = m[2]
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if m[1]:
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
-            if tag not in INLINE:
-                flush()
-            if place >= 0:
-                if tag in INLINE and any(t not in INLINE for t, _ in stack[place:]):
-                    links -= tag == "a"
-                    del stack[place]
-                else:
-                    close(place)
-            continue
-        if tag == "br":
-            held.append(" ")
-            continue
-        if tag not in INLINE:
-            flush()
-            head = head and tag != "body"
-            if tag in ENDS:
-                kinds, stops = ENDS[tag]
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in stops:
-                        break
-                    if stack[i][0] in kinds:
-                        close(i)
-                        break
-            elif any(t == "p" for t, _ in stack):
-                close(max(i for i, (t, _) in enumerate(stack) if t == "p"))
-        if tag in RAW:
-            end = RAW_ENDS[tag].search(html, at)
-            at = skip = end.end() if end else len(html)
-            continue
-        if tag in VOID or m[3].endswith("/") and tag in ("path", "circle"):
-            continue
-        stack.append((tag, tuple(_words(m[3])) if m[3].strip() else ()))
-        links += tag == "a"
-        head = head or tag == "head"
-    if at < len(html):
-        rest = html[at:]
-        held.append(rest if "<" not in rest else re.sub(r"<[a-zA-Z/][^>]*\Z", "", rest))
-    flush()
-    return out
+    return _Reader().read(html) if html else []
 
 
 def text_features(block: Block, at: int, count: int) -> list[str]:
@@ -196,12 +312,16 @@ class Field:
     start: float = 0.0
 
     def emissions(self, page: list[Block]) -> list[float]:
-        known: dict[tuple, float] = {}
+        known: dict[Chain | None, float] = {None: 0.0}
         out = []
         get = self.weights.get
         for i, b in enumerate(page):
-            if b.chain not in known:
-                known[b.chain] = sum(get(x, 0.0) for x in b.chain)
+            todo, at = [], b.chain
+            while at not in known:
+                todo.append(at)
+                at = at.outer
+            for at in reversed(todo):
+                known[at] = known[at.outer] + sum(get(x, 0.0) for x in at.own)
             out.append(known[b.chain] + sum(get(x, 0.0) for x in text_features(b, i, len(page))))
         return out
 
