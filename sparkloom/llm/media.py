@@ -1,9 +1,11 @@
 """Media columns in ISO base media containers.
 
 ``probe`` walks the nested boxes of a file and decodes its sample tables (sizes,
-chunk offsets, samples per chunk, times, sync samples); it gives each track's
-codec, duration and the byte ranges of its keyframes and never touches the media
-data. ``wrap`` stores bytes losslessly as a track of 8-bit samples; ``payload``
+chunk offsets, samples per chunk, times, sync samples) and the runs of its movie
+fragments; it gives each track's codec, duration and the byte ranges of its
+keyframes and never touches the media data. Counts are held against the bytes
+that stand for them before anything is made of their size, so memory is bounded
+by the file. ``wrap`` stores bytes losslessly as a track of 8-bit samples; ``payload``
 reads a track's bytes back through its sample table.
 
 Defined results: null bytes wrap as an empty payload and probe as null; files
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from sparkloom.llm.common import text_batches
 
 #: Boxes that hold boxes.
-CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"edts", b"udta", b"dinf"}
+CONTAINERS = {b"moov", b"trak", b"mdia", b"minf", b"stbl", b"edts", b"udta", b"dinf", b"mvex", b"moof", b"traf"}
 UNIT = 64
 RATE = 8000
 #: Samples from one sync sample to the next.
@@ -45,10 +47,11 @@ class Track:
     offsets: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
     times: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.int64))
     sync: np.ndarray | None = None  # sample numbers from 0; None: all
+    number: int = 0
 
     def keyframes(self) -> np.ndarray:
         """(offset, length) of every sync sample in the file."""
-        at = np.arange(len(self.offsets)) if self.sync is None else self.sync[self.sync < len(self.offsets)]
+        at = np.arange(len(self.offsets)) if self.sync is None else self.sync
         return np.column_stack([self.offsets[at], self.sizes[at]])
 
 
@@ -96,6 +99,8 @@ def probe(data: bytes) -> tuple[list[Track], str | None]:
     view = memoryview(data)
     tracks: list[Track] = []
     tables: list[dict] = []
+    extra: dict[int, tuple[int, int, int]] = {}
+    runs = Runs()
     error = None
     try:
         found = False
@@ -105,10 +110,17 @@ def probe(data: bytes) -> tuple[list[Track], str | None]:
             if kind == b"trak":
                 tracks.append(Track())
                 tables.append({})
+            if kind == b"trex":
+                number, _, *defaults = struct.unpack_from(">5I", view, at + 4)
+                extra[number] = tuple(defaults)
+            elif kind in (b"moof", b"tfhd", b"tfdt", b"trun"):
+                runs.read(view, kind, at, stop, extra)
             if not tracks or b"trak" not in path:
                 continue
             track, own = tracks[-1], tables[-1]
-            if kind == b"mdhd":
+            if kind == b"tkhd":
+                track.number = struct.unpack_from(">I", view, at + (20 if view[at] == 1 else 12))[0]
+            elif kind == b"mdhd":
                 if view[at] == 1:
                     track.timescale, track.duration = struct.unpack_from(">IQ", view, at + 20)
                 else:
@@ -120,15 +132,21 @@ def probe(data: bytes) -> tuple[list[Track], str | None]:
                     track.codec = bytes(view[at + 12 : at + 16]).decode("latin-1")
             elif kind == b"stsz":
                 fixed, count = struct.unpack_from(">II", view, at + 4)
+                if fixed and fixed * count > len(view):
+                    raise Fault("samples lie beyond the end")
                 own["sizes"] = np.full(count, fixed, dtype=np.int64) if fixed else _table(view, at + 8, stop, ">u4")
             elif kind == b"stz2":
                 bits = view[at + 7]
                 if bits == 4:
                     count = struct.unpack_from(">I", view, at + 8)[0]
+                    if at + 12 + -(-count // 2) > stop:
+                        raise Fault("a sample table is cut off")
                     raw = np.frombuffer(view, dtype=np.uint8, count=-(-count // 2), offset=at + 12)
                     own["sizes"] = np.column_stack([raw >> 4, raw & 15]).reshape(-1)[:count].astype(np.int64)
-                else:
+                elif bits in (8, 16):
                     own["sizes"] = _table(view, at + 8, stop, f">u{bits // 8}")
+                else:
+                    raise Fault(f"sample sizes of {bits} bits")
             elif kind == b"stco":
                 own["chunks"] = _table(view, at + 4, stop, ">u4")
             elif kind == b"co64":
@@ -138,6 +156,7 @@ def probe(data: bytes) -> tuple[list[Track], str | None]:
             elif kind == b"stts":
                 own["deltas"] = _table(view, at + 4, stop, ">u4", 2)
             elif kind == b"stss":
+                track.sync = np.zeros(0, dtype=np.int64)
                 track.sync = _table(view, at + 4, stop, ">u4") - 1
         if not found:
             error = "no boxes"
@@ -147,9 +166,13 @@ def probe(data: bytes) -> tuple[list[Track], str | None]:
         error = str(e)
     for track, own in zip(tracks, tables, strict=True):
         try:
-            _place(track, own)
+            if own or track.number not in runs.found:
+                _place(track, own)
         except Fault as e:
             error = error or str(e)
+            track.sync = np.zeros(0, dtype=np.int64)
+        if track.number in runs.found:
+            runs.append(track)
         if len(track.offsets) and int((track.offsets + track.sizes).max()) > len(view):
             error = error or "samples lie beyond the end"
     return tracks, error
@@ -161,22 +184,93 @@ def _place(track: Track, own: dict) -> None:
     if sizes is None or chunks is None or runs is None:
         raise Fault("a track has no sample table")
     firsts = np.append(runs[:, 0] - 1, len(chunks))
-    if len(runs) and (np.diff(firsts) < 0).any():
+    if len(runs) and (firsts[0] != 0 or (np.diff(firsts) < 0).any()):
         raise Fault("the samples a chunk are out of order")
     each = np.repeat(runs[:, 1], np.diff(firsts)) if len(runs) else np.zeros(0, dtype=np.int64)
-    if each.sum() < len(sizes) or len(each) < len(chunks):
+    ends = np.cumsum(each)
+    if (ends[-1] if len(ends) else 0) < len(sizes) or len(each) < len(chunks):
         raise Fault("the chunks hold fewer samples than there are sizes")
-    chunk = np.repeat(np.arange(len(each)), each)[: len(sizes)]
+    chunk = np.searchsorted(ends, np.arange(len(sizes)), side="right")
     before = np.cumsum(sizes) - sizes
-    begin = np.cumsum(each) - each
     track.sizes = sizes
-    track.offsets = chunks[chunk] + before - before[begin[chunk]] if len(sizes) else sizes
+    track.offsets = chunks[chunk] + before - before[(ends - each)[chunk]] if len(sizes) else sizes
+    if (track.offsets < 0).any():
+        track.sizes = track.offsets = track.offsets[:0]
+        raise Fault("samples lie beyond the end")
+    if track.sync is not None and len(track.sync) and (track.sync[0] < 0 or track.sync[-1] >= len(sizes) or (np.diff(track.sync) <= 0).any()):
+        raise Fault("sync samples are out of order or range")
     deltas = own.get("deltas")
     if deltas is not None:
+        if deltas[:, 0].sum() > len(sizes):
+            raise Fault("there are more times than samples")
         steps = np.repeat(deltas[:, 1], deltas[:, 0])
         track.times = np.cumsum(steps) - steps
 
 
+class Runs:
+    """The track runs of movie fragments, by track number."""
+
+    def __init__(self):
+        self.found: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]] = {}
+        self.ends: dict[int, int] = {}  # decode time after the runs so far
+        self.moof = self.number = self.base = self.next = 0
+        self.defaults = (0, 0, 0)  # duration, size, flags
+
+    def read(self, view: memoryview, kind: bytes, at: int, stop: int, extra: dict[int, tuple[int, int, int]]) -> None:
+        if kind == b"moof":
+            wide = at >= 16 and struct.unpack_from(">I4s", view, at - 16) == (1, b"moof")
+            self.moof = at - (16 if wide else 8)
+            return
+        flags = struct.unpack_from(">I", view, at)[0] & 0xFFFFFF
+        place = at + 4
+
+        def number(form: str = ">I") -> int:
+            nonlocal place
+            if place + struct.calcsize(form) > stop:
+                raise Fault("a fragment's header is cut off")
+            place += struct.calcsize(form)
+            return struct.unpack_from(form, view, place - struct.calcsize(form))[0]
+
+        if kind == b"tfhd":
+            self.number = number()
+            self.base = number(">Q") if flags & 1 else self.moof
+            if flags & 2:
+                number()
+            given = [number() if flags & bit else None for bit in (8, 0x10, 0x20)]
+            known = extra.get(self.number, (0, 0, 0))
+            self.defaults = tuple(k if g is None else g for g, k in zip(given, known, strict=True))
+            self.next = self.base
+        elif kind == b"tfdt":
+            self.ends[self.number] = number(">Q" if view[at] == 1 else ">I")
+        else:
+            count = number()
+            start = self.base + number(">i") if flags & 1 else self.next
+            first = number() if flags & 4 else None
+            columns = [bit for bit in (0x100, 0x200, 0x400, 0x800) if flags & bit]
+            if place + 4 * len(columns) * count > stop or not flags & 0x200 and count * max(1, self.defaults[1]) > len(view):
+                raise Fault("a track run is longer than its bytes")
+            table = np.frombuffer(view, dtype=">u4", count=len(columns) * count, offset=place).astype(np.int64).reshape(count, len(columns))
+            column = lambda bit, other: table[:, columns.index(bit)] if bit in columns else np.full(count, other, dtype=np.int64)
+            durations, sizes, signs = (column(bit, other) for bit, other in zip((0x100, 0x200, 0x400), self.defaults, strict=True))
+            if first is not None and count:
+                signs = np.concatenate([[first], signs[1:]])
+            offsets = start + np.cumsum(sizes) - sizes
+            begin = self.ends.get(self.number, 0)
+            if count and start < 0:
+                raise Fault("samples lie beyond the end")
+            self.found.setdefault(self.number, []).append((offsets, sizes, begin + np.cumsum(durations) - durations, signs & 0x10000 == 0))
+            self.ends[self.number] = begin + int(durations.sum())
+            self.next = start + int(sizes.sum())
+
+    def append(self, track: Track) -> None:
+        """The runs' samples after those of the track's own tables."""
+        offsets, sizes, times, sync = (np.concatenate(x) for x in zip(*self.found[track.number], strict=True))
+        old = np.arange(len(track.sizes)) if track.sync is None else track.sync
+        track.sync = np.concatenate([old, np.flatnonzero(sync) + len(track.sizes)])
+        track.offsets, track.sizes, track.times = (np.concatenate(x) for x in ((track.offsets, offsets), (track.sizes, sizes), (track.times, times)))
+        track.duration = track.duration or self.ends[track.number]
+
+
 def payload(data: bytes, track: Track) -> bytes:
     """The track's bytes, sample by sample; runs of neighbours are read at once."""
     if not len(track.offsets):

@@ -3,7 +3,9 @@ from __future__ import annotations
 import hashlib
 import io
 import os
+import random
 import struct
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -59,6 +61,74 @@ def test_faults_are_told(cut):
     assert media.probe(b"not a file at all, but text")[1] is not None
 
 
+def u(*x):
+    return struct.pack(f">{len(x)}I", *x)
+
+
+def small(stts=(0, 1, 2, 10), stsc=(0, 1, 1, 2, 1), stsz=(0, 4, 2), stco=(0, 1, 0), stss=(0, 1, 1)):
+    stbl = box(b"stbl", box(b"stsd", u(0, 1), box(b"avc1", bytes(8))), box(b"stts", u(*stts)), box(b"stsc", u(*stsc)), box(b"stsz", u(*stsz)), box(b"stco", u(*stco)), box(b"stss", u(*stss)))
+    return box(b"moov", box(b"trak", box(b"tkhd", u(0, 0, 0, 1, 0)), box(b"mdia", box(b"mdhd", u(0, 0, 0, 1000, 80, 0)), box(b"hdlr", u(0, 0), b"vide", bytes(13)), box(b"minf", stbl)))) + bytes(600)
+
+
+MANY = 0xFFFFFFF0
+
+
+@pytest.mark.parametrize("tables", [{"stsz": (0, 1, MANY)}, {"stsz": (0, 4, MANY)}, {"stsz": (0, 0, MANY)}, {"stts": (0, 1, MANY, 1)}, {"stts": (0, MANY, 1, 1)}, {"stsc": (0, 1, 1, MANY, 1)}, {"stsc": (0, MANY, 1, 1, 1)}, {"stsc": (0, 1, MANY, 1, 1)}, {"stsc": (0, 1, 0, 2, 1)}, {"stco": (0, MANY, 0)}, {"stss": (0, MANY, 1)}, {"stss": (0, 1, 0)}, {"stss": (0, 1, 3)}, {"stss": (0, 2, 2, 1)}])
+def test_counts_are_held_against_the_file(tables):
+    assert media.probe(small())[1] is None
+    tracemalloc.start()
+    tracks, error = media.probe(small(**tables))
+    frames = [t.keyframes() for t in tracks]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    if tables == {"stsc": (0, 1, 1, MANY, 1)}:
+        assert error is None  # a chunk may have room for more samples than there are
+    else:
+        assert error and (not tracks or not len(frames[0]) or "stts" in tables)
+    assert peak < 5e6
+
+
+def test_damaged_files_never_raise():
+    rng = random.Random(3)
+    whole = [small(), media.wrap(media.padded(b"y" * 3000)), fragmented()[0]]
+    for _ in range(3000):
+        data = bytearray(rng.choice(whole))
+        for _ in range(rng.randint(1, 4)):
+            at = rng.randrange(min(len(data), 900))
+            data[at] = rng.choice([0, 1, 255, rng.randrange(256)])
+        tracks, _ = media.probe(bytes(data[: rng.choice([len(data), rng.randrange(len(data))])]))
+        for t in tracks:
+            media.feature(t)
+            assert (t.offsets >= 0).all()
+
+
+def fragmented():
+    """Two fragments: sizes in the first's run, defaults in the second's; bases at the fragment."""
+    stbl = box(b"stbl", box(b"stsd", u(0, 1), box(b"hvc1", bytes(8))), box(b"stts", u(0, 0)), box(b"stsc", u(0, 0)), box(b"stsz", u(0, 0, 0)), box(b"stco", u(0, 0)))
+    trak = box(b"trak", box(b"tkhd", u(0, 0, 0, 7, 0)), box(b"mdia", box(b"mdhd", u(0, 0, 0, 1000, 0, 0)), box(b"hdlr", u(0, 0), b"vide", bytes(13)), box(b"minf", stbl)))
+    moov = box(b"moov", trak, box(b"mvex", box(b"trex", u(0, 7, 1, 40, 6, 0x10000))))
+    samples = [os.urandom(n) for n in (9, 4, 5, 6, 6)]
+
+    def one(run, time, body):
+        make = lambda offset: box(b"moof", box(b"mfhd", u(0, 1)), box(b"traf", box(b"tfhd", u(0x20000, 7)), box(b"tfdt", u(0, time)), box(b"trun", run(offset))))
+        return make(len(make(0)) + 8) + box(b"mdat", body)
+
+    a = one(lambda at: u(0x205, 3, at, 0, 9, 4, 5), 0, b"".join(samples[:3]))
+    b = one(lambda at: u(0x401, 2, at, 0x10000, 0), 120, b"".join(samples[3:]))
+    return moov + a + b, samples
+
+
+def test_fragments():
+    file, samples = fragmented()
+    tracks, error = media.probe(file)
+    assert error is None and len(tracks) == 1
+    t = tracks[0]
+    assert (t.codec, t.duration, t.sizes.tolist(), t.times.tolist(), t.sync.tolist()) == ("hvc1", 200, [9, 4, 5, 6, 6], [0, 40, 80, 120, 160], [0, 4])
+    assert media.payload(file, t) == b"".join(samples)
+    assert [file[a : a + n] for a, n in t.keyframes().tolist()] == [samples[0], samples[4]]
+    assert media.probe(file.replace(u(0x401, 2), u(0x001, MANY)))[1] is not None
+
+
 def test_query_columns(spark, tmp_path):
     long = "é" * 40_000
     rows = [(1, "abc", "clash"), (2, None, "x"), (3, "", "x"), (4, long, "x"), (5, "abc", "x")]
