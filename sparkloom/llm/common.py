@@ -3,6 +3,9 @@ written intermediate tables and byte-balanced batches for Arrow functions."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
+import re
 import tempfile
 import uuid
 import zlib
@@ -17,8 +20,9 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Where the session names none (single-machine tests), a temporary folder is
-    set as checkpoint folder and used.
+    Where the session names none and all runs in this process (tests), a
+    temporary folder is set as checkpoint folder and used. On a cluster, whose
+    machines would not share it, that raises.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -26,6 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     folder = "file://" + tempfile.mkdtemp(prefix="loom-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
@@ -40,14 +46,29 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return _made[-1]
 
 
-def clear(spark: SparkSession) -> int:
-    """Delete the intermediate tables and archives that this process has written;
-    to be called when their results are no longer read. Their number."""
-    count = len(_made)
-    while _made:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    return count
+def count() -> int:
+    """How many intermediate tables and archives of this process are there."""
+    return len(_made)
+
+
+def clear(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> int:
+    """Delete the intermediate tables and archives that this process has written,
+    from number ``since`` on and but for ``keep``; to be called when their results
+    are no longer read. What is left is deleted when the process ends. Their number."""
+    gone = [x for x in _made[since:] if x not in keep]
+    _made[since:] = [x for x in _made[since:] if x in keep]
+    jvm, settings = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for x in gone:
+        path = jvm.org.apache.hadoop.fs.Path(x)
+        path.getFileSystem(settings).delete(path, True)
+    return len(gone)
+
+
+@atexit.register
+def _at_exit() -> None:
+    if _made and (spark := SparkSession.getActiveSession()) and spark.sparkContext._jsc:
+        with contextlib.suppress(Exception):  # the session may be ending, too
+            clear(spark)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -55,7 +76,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation.
     """
-    path = new_folder(df.sparkSession, name)
+    return written_at(df, new_folder(df.sparkSession, name))
+
+
+def written_at(df: DataFrame, path: str) -> DataFrame:
+    """written() to a given path."""
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -6,14 +6,16 @@ holds it within an edit budget e that is a share of m. By the q-gram lemma such
 a place shares at least m + 1 - q(e + 1) character q-grams with the window, on
 diagonals no further apart than e. So the shared q-grams are counted in diagonal
 bands that overlap by half, bands that reach the bound are kept, and a banded
-alignment verifies each. No place within the budget is missed.
+alignment verifies each. No place of a whole window within the budget is missed;
+windows begin every ``stride`` characters, so any piece of window + stride - 1
+characters of an item holds one. Items shorter than ``least`` characters have
+too few grams for the lemma and are found exactly, as whole words.
 
-The benchmark is a stated query set: it is matched in blocks of bounded size,
-each against all documents, and documents are not shuffled.
+The benchmark is a stated query set: it is matched in blocks whose index has a
+bounded size, each against all documents, and documents are not shuffled.
 
-Defined results: null and empty texts have no passages; items shorter than
-``least`` characters are too short to identify a passage and never match; equal
-items give a match each; repeated documents give repeated matches; an empty
+Defined results: null and empty texts have no passages; items without a word
+never match; equal items give a match each; repeated documents give repeated matches; an empty
 benchmark or table gives an empty result; extra columns are not read.
 """
 
@@ -22,13 +24,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import text_batches
+from sparkloom.llm.common import text_batches, written
 
 WORD = re.compile(r"[^\W_]+")
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -39,11 +43,12 @@ SEPARATOR = "\x00"
 @dataclass(frozen=True)
 class Rule:
     """q: of the grams; window and stride: of an item's windows; share: of a
-    window's characters that may be edits; least: characters of an item."""
+    window's characters that may be edits; least: characters of an item that is
+    found with edits."""
 
     q: int = 10
     window: int = 96
-    stride: int = 48
+    stride: int = 16
     share: float = 0.08
     least: int = 24
     band: int = 8
@@ -84,7 +89,7 @@ def gram_hashes(values: np.ndarray, q: int) -> np.ndarray:
 def windows(item: str, rule: Rule) -> list[tuple[int, int]]:
     """(start, end) of the windows that cover a normal text; the last ends with it."""
     n = len(item)
-    if n < max(rule.least, rule.q):
+    if not n:
         return []
     if n <= rule.window:
         return [(0, n)]
@@ -113,37 +118,80 @@ class Index:
     """The windows of a block of benchmark items, by their q-grams."""
 
     def __init__(self, items: list[tuple[int, str]], rule: Rule = Rule()):
-        self.rule, self.spans, self.patterns, self.texts = rule, [], [], []
-        grams, at, of = [], [], []
+        self.rule, self.items, self.spans, self.of_item = rule, [], [], []
+        self.short: dict[str, list[int]] = {}
+        grams, at, of, bounds, budgets = [], [], [], [], []
         for key, text in items:
             whole = normal(text)
+            if not whole:
+                continue
+            hashes = gram_hashes(codes(whole), rule.q)
+            exact = len(whole) < max(rule.least, rule.q)
             for start, end in windows(whole, rule):
-                values = codes(whole[start:end])
-                hashes = gram_hashes(values, rule.q)
-                grams.append(hashes)
-                at.append(np.arange(len(hashes)))
-                of.append(np.full(len(hashes), len(self.patterns)))
+                number, m = len(self.spans), end - start
                 self.spans.append((key, start, end, len(whole)))
-                self.patterns.append(values)
-                self.texts.append(whole[start:end])
+                self.of_item.append(len(self.items))
+                bounds.append(1 if exact else rule.bound(m))
+                budgets.append(0 if exact else rule.budget(m))
+                if exact:
+                    self.short.setdefault(whole, []).append(number)
+                    continue
+                n = m - rule.q + 1
+                grams.append(hashes[start : start + n])
+                at.append(np.arange(n, dtype=np.int32))
+                of.append(np.full(n, number, dtype=np.int32))
+            self.items.append(whole)
         grams = np.concatenate(grams) if grams else np.zeros(0, dtype=np.uint64)
         order = np.argsort(grams, kind="stable")
-        self.at = np.concatenate(at)[order] if at else np.zeros(0, dtype=np.int64)
-        self.of = np.concatenate(of)[order] if of else np.zeros(0, dtype=np.int64)
-        self.grams, self.first, self.many = np.unique(grams[order], return_index=True, return_counts=True)
+        self.at = np.concatenate(at)[order] if at else np.zeros(0, dtype=np.int32)
+        self.of = np.concatenate(of)[order] if of else np.zeros(0, dtype=np.int32)
+        self.grams, first, many = np.unique(grams[order], return_index=True, return_counts=True)
+        self.first, self.many = first.astype(np.int32), many.astype(np.int32)
         self.bits = 20
         self.seen = np.zeros(1 << self.bits, dtype=bool)
         self.seen[self.grams >> np.uint64(64 - self.bits)] = True
-        sizes = [len(p) for p in self.patterns]
-        self.bounds = np.array([rule.bound(m) for m in sizes], dtype=np.int64)
-        self.budgets = [rule.budget(m) for m in sizes]
-        self.least = int(self.bounds.min()) if sizes else 0
-        self.longest = max(sizes, default=0) + 2 * rule.band
+        self.bounds, self.budgets = np.array(bounds, dtype=np.int64), budgets
+        self.long = [i for i, b in enumerate(budgets) if len(self.text(i)) >= max(rule.least, rule.q)]
+        self.least = int(self.bounds[self.long].min()) if self.long else 0
+        self.longest = max((e - s for _, s, e, _ in self.spans), default=0) + 2 * rule.band
+        #: No shorter normal text holds anything.
+        self.shortest = min([*map(len, self.short), *([rule.least - rule.band] if self.long else [])], default=1 << 60)
+        self.built: dict = {}
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"built": {}}
+
+    def text(self, window: int) -> str:
+        """The normal text of a window."""
+        _, start, end, _ = self.spans[window]
+        return self.items[self.of_item[window]][start:end]
+
+    def exact(self, text: str) -> list[tuple[int, int, int, int]]:
+        """search() for the short items."""
+        if not self.short:
+            return []
+        if "a" not in self.built:
+            import ahocorasick
+
+            self.built["a"] = ahocorasick.Automaton()
+            for item in self.short:
+                self.built["a"].add_word(item, item)
+            self.built["a"].make_automaton()
+        out, edge = [], (" ", SEPARATOR)
+        for last, item in self.built["a"].iter(text):
+            start, end = last + 1 - len(item), last + 1
+            if (not start or text[start - 1] in edge) and (end == len(text) or text[end] in edge):
+                out += [(w, start, end, 0) for w in self.short[item]]
+        return out
 
     def search(self, text: str) -> list[tuple[int, int, int, int]]:
         """(window, start, end, edits) of every verified place in a normal text;
         a window's places in overlapping bands count once each."""
-        if not self.patterns or len(text) < self.rule.q:
+        return sorted([*self.exact(text), *self.edited(text)])
+
+    def edited(self, text: str) -> list[tuple[int, int, int, int]]:
+        """search() for the items that are found with edits."""
+        if not self.long or len(text) < self.rule.q:
             return []
         values = codes(text)
         hashes = gram_hashes(values, self.rule.q)
@@ -162,9 +210,9 @@ class Index:
         places, index = places[near], index[near]
         if not len(places):
             return []
-        many = self.many[index]
+        many = self.many[index].astype(np.int64)
         posting = np.repeat(self.first[index], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-        of = self.of[posting]
+        of = self.of[posting].astype(np.int64)
         # Shifted by the longest window, so that diagonals are positive.
         diagonal = np.repeat(places, many) - self.at[posting] + self.longest
         band = diagonal // self.rule.band
@@ -176,19 +224,20 @@ class Index:
         for w, b in zip((keys[kept] // scale).tolist(), (keys[kept] % scale).tolist(), strict=True):
             low = b * self.rule.band - self.longest
             start, shift = max(0, low), max(0, -low)
-            pattern = self.patterns[w]
-            stop = low + 2 * self.rule.band + len(pattern)
-            exact = text.find(self.texts[w], start, stop)
+            own = self.text(w)
+            stop = low + 2 * self.rule.band + len(own)
+            exact = text.find(own, start, stop)
             if exact >= 0:
-                out[w, exact, True] = (w, exact, exact + len(pattern), 0)
+                out[w, exact, True] = (w, exact, exact + len(own), 0)
                 continue
+            pattern = codes(own)
             region = np.concatenate([np.full(shift, 0xFFFFFFFE, dtype=np.uint32), values[start:stop]])
             cost, end = edits(pattern, region, 2 * self.rule.band + 1)
             if cost <= self.budgets[w]:
                 end = end - shift + start
                 # Exact starts and edited ends are told apart, so that none takes another's place.
                 out[w, end // self.rule.band, False] = (w, max(0, end - len(pattern)), end, cost)
-        return sorted(out.values())
+        return list(out.values())
 
 
 def searched(own: Index, texts: list[str | None], most: int = 1 << 20) -> list[list[tuple[int, int, int, int]]]:
@@ -201,8 +250,13 @@ def searched(own: Index, texts: list[str | None], most: int = 1 << 20) -> list[l
     def long(whole: str) -> list[tuple[int, int, int, int]]:
         found = {}
         for at in range(0, len(whole), most):
-            for w, start, end, cost in own.search(whole[at : at + most + own.longest]):
+            for w, start, end, cost in own.edited(whole[at : at + most + own.longest]):
                 found.setdefault((w, (at + end) // own.rule.band), (w, at + start, at + end, cost))
+            # A sign more on each side tells whether a word begins and ends at the cuts.
+            low = max(0, at - 1)
+            for w, start, end, cost in own.exact(whole[low : at + most + own.longest + 1]):
+                if at <= low + start < at + most:
+                    found[w, low + start, True] = (w, low + start, low + end, cost)
         return sorted(found.values())
 
     def flush() -> None:
@@ -219,7 +273,7 @@ def searched(own: Index, texts: list[str | None], most: int = 1 << 20) -> list[l
         whole = normal(text)
         if len(whole) > most:
             out[i] = long(whole)
-        elif len(whole) >= own.rule.least - own.rule.band:
+        elif len(whole) >= own.shortest:
             held.append((i, whole))
             size += len(whole)
         if size > 1 << 18:
@@ -244,8 +298,9 @@ def original_span(text: str, start: int, end: int) -> tuple[int, int]:
     return first or 0, last
 
 
-def blocks(benchmark: DataFrame, text: str, key: str, rule: Rule, most: int = 4_000_000) -> Iterator[Index]:
-    """Indexes of at most about ``most`` characters each, until all items are covered."""
+def blocks(benchmark: DataFrame, text: str, key: str, rule: Rule, most: int = 200_000) -> Iterator[Index]:
+    """Indexes of about ``most`` characters each, until all items are covered. A
+    character takes about 80 bytes of an index, so a block about 16 MB."""
     items = benchmark.select(F.col(key).cast("bigint").alias("key"), F.col(text).alias("text")).where("text is not null")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-total // most)
@@ -288,13 +343,25 @@ def passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
 
 
 def contaminated(benchmark: DataFrame, text: str | Column = "text", item_text: str = "text", item_key: str = "item_id", rule: Rule = Rule()) -> Column:
-    """True where a whole text column holds a passage of any item."""
+    """True where a whole text column holds a passage of any item. All blocks are
+    held at once; uncontaminated() takes a few at a time."""
     value, out = F.col(text) if isinstance(text, str) else text, F.lit(False)
     for index in blocks(benchmark, item_text, item_key, rule):
         out = out | _found(benchmark.sparkSession.sparkContext.broadcast(index))(value)
     return out
 
 
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_key: str = "item_id", rule: Rule = Rule(), most: int = 200_000, at_once: int = 4) -> DataFrame:
+    """The rows of ``docs`` whose text holds no passage. A worker holds ``at_once``
+    blocks of the benchmark; what is left after these is written for the next."""
+    flags: list[Column] = []
+    for index in blocks(benchmark, item_text, item_key, rule, most):
+        if len(flags) == at_once:
+            docs, flags = written(docs.where(~reduce(or_, flags)), "uncontaminated"), []
+        flags.append(_found(docs.sparkSession.sparkContext.broadcast(index))(F.col(text)))
+    return docs.where(~reduce(or_, flags)) if flags else docs
+
+
 def _found(held):
     @F.arrow_udf("boolean")
     def found(texts: pa.Array) -> pa.Array:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm import decontaminate, packing, pii, shingles, simhash, toxicity
+from sparkloom.llm import common, decontaminate, packing, pii, shingles, simhash, toxicity
 from sparkloom.llm.common import table, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -36,12 +36,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    return docs.where(~decontaminate.contaminated(table(spark, sf_dir, "benchmark")))
+    return decontaminate.uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data becomes pseudonyms of the same length and format."""
-    made = docs.withColumn("text", pii.pseudonymise("text"))
+    made = docs.withColumn("text", pii.pseudonymise("text", pii.key_of(spark)))
     if "n_chars" in docs.columns:
         made = made.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))
     return made
@@ -63,7 +63,10 @@ STAGES: list[tuple[str, Stage]] = [
 
 def run_stages(spark: SparkSession, sf_dir: str, stages: list[tuple[str, Stage]] = STAGES) -> DataFrame:
     """The stages over the whole documents table, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, made = table(spark, sf_dir, "documents"), common.count()
     for name, stage in stages:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = common.new_folder(spark, name)
+        docs = common.written_at(stage(spark, docs, sf_dir), path)
+        # A stage reads the one before it and its own tables, which are done with now.
+        common.clear(spark, made, keep=(path,))
     return docs

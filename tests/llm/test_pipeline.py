@@ -36,7 +36,7 @@ def test_stages(spark, tmp_path):
     assert set(kept["near_duplicates"]) == clean - {301, 302, 305}
     assert set(kept["decontamination"]) == clean - {301, 302, 305, 300}
     assert set(kept["pseudonyms"]) == set(kept["decontamination"])
-    assert "ann.lee@" not in kept["pseudonyms"][303]["text"] and kept["pseudonyms"][303]["text"] == pii.Pseudonyms().replace(dict(extra)[303])
+    assert "ann.lee@" not in kept["pseudonyms"][303]["text"] and kept["pseudonyms"][303]["text"] == pii.Pseudonyms(pii.key_of(spark)).replace(dict(extra)[303])
     assert kept["pseudonyms"][5]["text"] == docs[5][1] and kept["pseudonyms"][5]["n_chars"] == len(docs[5][1])
     assert set(kept["packing"]) == set(kept["pseudonyms"])
     whole = corpus_pipeline.run(spark, str(tmp_path))
