@@ -6,6 +6,9 @@ newline the only line end. Null text gives null unless said otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -150,12 +153,16 @@ TAILS = [
 ]
 
 
+# First words that phrases lose.
+STARTS = (r"(?U)^(The|This|It|There|These|A|An)\s+", r"(?U)^(is|are|was|were|has|have|had|being)\s+")
+
+
 def phrases(text: Column) -> Column:
     """At most three short phrases from the first three sentences, joined by semicolons."""
 
     def shorten(s: Column) -> Column:
-        s = F.regexp_replace(s, r"(?U)^(The|This|It|There|These|A|An)\s+", "")
-        s = F.regexp_replace(s, r"(?U)^(is|are|was|were|has|have|had|being)\s+", "")
+        for start in STARTS:
+            s = F.regexp_replace(s, start, "")
         s = F.when(F.length(s) > 70, F.element_at(F.split(s, "[,;:]"), 1)).otherwise(s)
         return F.regexp_replace(strip(s), r"\.+$", "")
 
@@ -172,3 +179,36 @@ def clean_summary(text: Column) -> Column:
     dots = F.length(text) - F.length(F.replace(text, F.lit("."), F.lit("")))
     text = F.when((dots > 2) | (F.length(text) > 180), phrases(text)).otherwise(text)
     return F.coalesce(strip(F.regexp_replace(text, r"(?U)[.,;:\s]+$", "")), F.lit(""))
+
+
+def summary(text: Column, max_words: int = 80, backend: Callable[[list[str], int], list[str | None]] | None = None, least: int = 100, most: int = 2000) -> Column:
+    """A summary; null where the stripped text has under ``least`` characters. The
+    first ``most`` characters are read, which is this function's feature.
+
+    ``backend`` gets a batch of texts and the number of words and gives a summary
+    for each, which loses stock phrases; where it fails or gives none, and without
+    one, the summary is the excerpt.
+    """
+    head = F.substring(text, 1, most)
+    plain = excerpt(head, max_words)
+    if backend is None:
+        return F.when(F.length(strip(text)) >= least, plain)
+
+    @F.arrow_udf("string")
+    def asked(texts: pa.Array) -> pa.Array:
+        rows = texts.to_pylist()
+        at = [i for i, x in enumerate(rows) if x is not None]
+        out: list[str | None] = [None] * len(rows)
+        for start in range(0, len(at), 64):
+            part = at[start : start + 64]
+            try:
+                made = backend([rows[i] for i in part], max_words)
+            except Exception:
+                made = [None] * len(part)
+            for i, x in zip(part, made, strict=True):
+                out[i] = x
+        return pa.array(out, pa.string())
+
+    long_enough = F.length(strip(text)) >= least
+    own = clean_summary(asked(F.when(long_enough, head)))
+    return F.when(long_enough, F.when(F.length(own) > 0, own).otherwise(plain))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions import text as T
 from sparkloom.operators import dedup, monitor
 
-SORTABLE = ("quality_score", "wilson_score", "importance_score", "content_length", "cluster_id", "id", "title", "domain")
+SORTABLE = ("quality_score", "wilson_score", "importance_score", "content_length", "cluster_id", "id", "title", "domain", "created_at")
 DETAIL = ("id", "title", "summary", "domain", "content_type", "quality_score", "content_length", "cluster_id", "status")
 
 

@@ -4,6 +4,9 @@ embedding, and these in order.
 "Earlier" means a smaller id. A document is compared with all earlier ones, so
 in a chain A~B~C both B and C are duplicates although A and C differ.
 Rows with equal signatures are joined once, through their first document.
+
+Texts too short for a signature (no word, under five characters) have the zero
+signature, and so are alike; null texts and ids are no documents.
 """
 
 from __future__ import annotations
@@ -12,7 +15,8 @@ import hashlib
 import math
 import re
 from collections import Counter
-from itertools import combinations
+from collections.abc import Iterator
+from itertools import combinations, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -20,8 +24,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions import url as U
+from sparkloom.store import reused
 
 WORDS = re.compile(r"\b\w+\b")
+#: Grams whose bits are added up at once.
+BLOCK = 1 << 14
 
 
 # -- exact ------------------------------------------------------------------
@@ -57,10 +64,13 @@ def simhash_value(text: str | None) -> int:
         return 0
     grams = Counter(words)
     grams.update(" ".join(x) for x in zip(words, words[1:], words[2:], strict=False))
-    raw = np.frombuffer(b"".join(hashlib.md5(g.encode("utf-8", "surrogatepass")).digest()[:8] for g in grams), dtype=np.uint8)
-    times = np.fromiter(grams.values(), np.float32, len(grams))
-    ones = times @ np.unpackbits(raw.reshape(-1, 8), axis=1, bitorder="little").astype(np.float32)
-    return int(np.packbits(ones * 2 > times.sum(), bitorder="little").view("<i8")[0])
+    ones, total, rest = np.zeros(64), 0, iter(grams.items())
+    while part := list(islice(rest, BLOCK)):
+        raw = np.frombuffer(b"".join(hashlib.md5(g.encode("utf-8", "surrogatepass")).digest()[:8] for g, _ in part), dtype=np.uint8)
+        times = np.fromiter((n for _, n in part), np.float32, len(part))
+        ones += times @ np.unpackbits(raw.reshape(-1, 8), axis=1, bitorder="little").astype(np.float32)
+        total += int(times.sum())
+    return int(np.packbits(ones * 2 > total, bitorder="little").view("<i8")[0])
 
 
 def simhash(text: Column) -> Column:
@@ -83,25 +93,80 @@ def block_keys(fp: Column, blocks: int = 6, kept: int = 3, bits: int = 64) -> Co
     return F.array(*(F.struct(F.lit(i).alias("t"), fp.bitwiseAND(F.lit(m).cast("bigint")).alias("k")) for i, m in enumerate(masks)))
 
 
+def _bucket_links(least_only: bool, threshold: int):
+    """For rows (t, k, fp, id) sorted by bucket: the links inside each, or of each
+    fingerprint that with the smallest id if it is smaller than its own. In blocks."""
+
+    def found(fps: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        step = max(1, (1 << 20) // len(fps))
+        for low in range(0, len(fps), step):
+            d = np.bitwise_count(fps[low : low + step, None] ^ fps[None, :])
+            near = (d <= threshold) & (ids[low : low + step, None] > ids[None, :])
+            if least_only:
+                # Sorted by id, so the first is the smallest.
+                i = np.flatnonzero(near.any(axis=1))
+                j = near[i].argmax(axis=1)
+            else:
+                i, j = np.nonzero(near)
+            if len(i):
+                at = low + i
+                columns = (fps[at].view(np.int64), fps[j].view(np.int64), ids[at], ids[j], d[i, j].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["fp", "fp2", "id", "id2", "distance"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            own = [batch.column(c).to_numpy() for c in ("t", "k", "fp", "id")]
+            rest = own if rest is None else [np.concatenate(x) for x in zip(rest, own, strict=True)]
+            new = np.flatnonzero((rest[0][1:] != rest[0][:-1]) | (rest[1][1:] != rest[1][:-1])) + 1
+            # The last bucket may go on in the next batch.
+            for a, b in pairwise([0, *new.tolist()]):
+                if b - a > 1:
+                    yield from found(rest[2][a:b].view(np.uint64), rest[3][a:b])
+            last = int(new[-1]) if len(new) else 0
+            rest = [x[last:] for x in rest]
+        if rest is not None and len(rest[0]) > 1:
+            yield from found(rest[2].view(np.uint64), rest[3])
+
+    return run
+
+
+def _simhash_links(nodes: DataFrame, threshold: int, least_only: bool, most: int = 256) -> DataFrame:
+    """fp, fp2, id, id2 (smaller) and distance of links between ``nodes`` (fp, id).
+
+    Fingerprints meet where half of their blocks are equal. A bucket of over
+    ``most`` is dealt again by its other blocks: these are cut finer, so that
+    linked fingerprints still agree on 52 bits or so and at most a few thousand
+    different ones can meet, however many rows the bucket has.
+    """
+    keyed = nodes.withColumn("m", F.explode(block_keys(F.col("fp"), threshold + 3, 3))).select("fp", "id", F.col("m.t").alias("t"), F.col("m.k").alias("k"))
+    large = keyed.groupBy("t", "k").agg(F.count("*").alias("n")).where(F.col("n") > most).select("t", "k", F.lit(True).alias("_large"))
+    keyed = keyed.join(large, ["t", "k"], "left")
+    pieces = 2 * threshold + 3
+    finer = F.explode(block_keys(F.col("fp"), pieces, pieces - threshold))
+    again = keyed.where("_large").select("fp", "id", F.col("t").alias("t0"), F.col("k").alias("k0"), finer.alias("m"))
+    again = again.select("fp", "id", (1000 + F.col("m.t") + 10_000 * F.col("t0")).alias("t"), F.xxhash64("k0", "m.k").alias("k"))
+    buckets = keyed.where("_large is null").select("fp", "id", F.col("t").cast("int").alias("t"), "k").unionByName(again.select("fp", "id", F.col("t").cast("int").alias("t"), "k"))
+    met = buckets.select("t", "k", "fp", F.col("id").cast("bigint").alias("id")).repartition("t", "k").sortWithinPartitions("t", "k", "id")
+    return met.mapInArrow(_bucket_links(least_only, threshold), "fp bigint, fp2 bigint, id bigint, id2 bigint, distance int")
+
+
 def simhash_pairs(signed: DataFrame, key: str = "doc_id", threshold: int = 3) -> DataFrame:
     """a < b and distance of the first documents of every two different
-    fingerprints (non-zero) at most ``threshold`` apart; no pair is missed."""
-    nodes = signed.where("fp <> 0").groupBy("fp").agg(F.min(key).alias("id"))
-    keyed = nodes.withColumn("m", F.explode(block_keys(F.col("fp"), threshold + 3, 3))).select("fp", "id", "m.t", "m.k")
-    left, right = keyed, keyed.select(F.col("fp").alias("fp2"), F.col("id").alias("id2"), "t", "k")
-    near = left.join(right, ["t", "k"]).where("fp < fp2").withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))))
-    near = near.where(F.col("distance") <= threshold).groupBy("fp", "fp2").agg(F.first("id").alias("id"), F.first("id2").alias("id2"), F.first("distance").alias("distance"))
-    return near.select("fp", "fp2", F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), "distance")
+    fingerprints at most ``threshold`` apart; no pair is missed."""
+    nodes = signed.where(F.col("fp").isNotNull() & F.col(key).isNotNull()).groupBy("fp").agg(F.min(key).alias("id"))
+    near = _simhash_links(nodes, threshold, False).distinct()
+    return near.select("fp", "fp2", F.col("id2").alias("a"), F.col("id").alias("b"), "distance")
 
 
 def simhash_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: int = 3) -> DataFrame:
     """``key``, duplicate_of (the first earlier document near it) and similarity of each near-duplicate."""
-    signed = docs.select(key, simhash(F.col(text)).alias("fp")).persist()  # two longs a row, read three times
-    pairs = simhash_pairs(signed, key, threshold)
-    both = pairs.select("fp", F.col("fp2").alias("other"), "distance").union(pairs.select("fp2", "fp", "distance"))
-    first = signed.where("fp <> 0").groupBy("fp").agg(F.min(key).alias("least"))
-    near = both.join(first.withColumnsRenamed({"fp": "other", "least": "duplicate_of"}), "other").select("fp", "duplicate_of", "distance")
-    near = near.unionByName(first.select("fp", F.col("least").alias("duplicate_of"), F.lit(0).alias("distance")))
+    rows = docs.where(F.col(text).isNotNull() & F.col(key).isNotNull())
+    signed = reused(rows.select(key, simhash(F.col(text)).alias("fp")))
+    first = reused(signed.groupBy("fp").agg(F.min(key).alias("id"), F.count("*").alias("n")))
+    near = _simhash_links(first.select("fp", "id"), threshold, True).select("fp", F.col("id2").alias("duplicate_of"), "distance")
+    # A fingerprint's first document is near to all its others.
+    near = near.unionByName(first.where("n > 1").select("fp", F.col("id").cast("bigint").alias("duplicate_of"), F.lit(0).alias("distance")))
     best = near.groupBy("fp").agg(F.min(F.struct("duplicate_of", "distance")).alias("best"))
     hit = signed.join(best, "fp").where(F.col("best.duplicate_of") < F.col(key))
     return hit.select(key, F.col("best.duplicate_of").alias("duplicate_of"), (1 - F.col("best.distance") / 64).alias("similarity"))
@@ -160,6 +225,17 @@ def _sketches(sigs: np.ndarray) -> np.ndarray:
     return np.packbits(mixed.astype(np.uint8), axis=1).reshape(len(sigs), -1)
 
 
+def _sketch(sig: Column, n: int) -> Column:
+    """The sketch column of a signature column."""
+
+    @F.arrow_udf("binary")
+    def made(sigs: pa.Array) -> pa.Array:
+        flat = _sketches(_matrix(sigs, n)).tobytes()
+        return pa.FixedSizeBinaryArray.from_buffers(pa.binary(n // 8), len(sigs), [None, pa.py_buffer(flat)]).cast(pa.binary())
+
+    return made(sig)
+
+
 def _apart(n: int, threshold: float) -> int:
     """Differing sketch bits that a pair at the threshold exceeds with a probability of 3e-5 at most: four
     standard deviations over the mean."""
@@ -173,10 +249,10 @@ def _matrix(sigs: pa.Array, n: int) -> np.ndarray:
 
 def _signed(docs: DataFrame, text: str, key: str, n: int, seed: int) -> tuple[DataFrame, DataFrame]:
     """Rows as ``key`` and the two halves h, g of a 128-bit hash of the signature; and
-    id (the first row), h, g and sig of each signature. Texts under five characters have none."""
-    rows = docs.where((F.length(text) >= 5) & F.col(key).isNotNull()).select(key, minhash(F.col(text), n, seed).alias("sig"))
-    rows = rows.select(key, "sig", F.xxhash64("sig").alias("h"), F.xxhash64(F.lit(1), "sig").alias("g")).persist()
-    return rows, rows.groupBy("h", "g").agg(F.min(key).alias("id"), F.first("sig").alias("sig")).persist()
+    id (the first row), h, g and sig of each signature."""
+    rows = docs.where(F.col(text).isNotNull() & F.col(key).isNotNull()).select(key, minhash(F.col(text), n, seed).alias("sig"))
+    rows = reused(rows.select(key, "sig", F.xxhash64("sig").alias("h"), F.xxhash64(F.lit(1), "sig").alias("g")))
+    return rows, reused(rows.groupBy("h", "g").agg(F.min(key).alias("id"), F.first("sig").alias("sig")))
 
 
 def _keys(sig: Column, tables: int, n: int, seed: int, rows: int = 4) -> Column:
@@ -197,13 +273,43 @@ def _keys(sig: Column, tables: int, n: int, seed: int, rows: int = 4) -> Column:
     return keys(sig)
 
 
+def _met(apart: int):
+    """For rows (t, k, id, bound, sketch) sorted by bucket and id: (id, id2) where the
+    earlier id2 is under the row's bound and the sketches are near."""
+
+    def met(batches):
+        names, rest = ("t", "k", "id", "bound"), None
+        for batch in batches:
+            cols = [batch.column(x).to_numpy() for x in names]
+            cols.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(batch), -1))
+            rest = cols if rest is None else [np.concatenate(x) for x in zip(rest, cols, strict=True)]
+            t, k = rest[0], rest[1]
+            if not len(t):
+                continue
+            # The last bucket may go on in the next batch.
+            cut = int(np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (k[1:] != k[:-1])])[-1])
+            done, rest = [x[:cut] for x in rest], [x[cut:] for x in rest]
+            if cut:
+                yield from paired(*done)
+        if rest is not None and len(rest[0]):
+            yield from paired(*rest)
+
+    def paired(t, k, ids, bound, sketch):
+        for a, b in _eligible(t, k, ids, np.minimum(ids, bound), sketch, apart):
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["id", "id2"])
+
+    return met
+
+
 def minhash_pairs(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = 0.5, n: int = 128, seed: int = 42) -> DataFrame:
     """a < b and similarity of pairs at least ``threshold`` alike. Different signatures
     are joined through their first documents; every further document of a signature
     has a pair with its first, of similarity 1, which is its membership."""
     rows, nodes = _signed(docs, text, key, n, seed)
-    keyed = nodes.select("id", F.posexplode(_keys(F.col("sig"), tables_for(threshold, n), n, seed)).alias("t", "k"))
-    near = keyed.join(keyed.withColumnRenamed("id", "id2"), ["t", "k"]).where("id < id2").select("id", "id2").distinct()
+    sketched = nodes.select(F.col("id").cast("bigint").alias("id"), F.lit(np.iinfo(np.int64).max).alias("bound"), _sketch(F.col("sig"), n).alias("sketch"), _keys(F.col("sig"), tables_for(threshold, n), n, seed).alias("keys"))
+    keyed = sketched.select("id", "bound", "sketch", F.posexplode("keys").alias("t", "k"))
+    near = keyed.repartition("t", "k").sortWithinPartitions("t", "k", "id").mapInArrow(_met(_apart(n, threshold)), "id2 bigint, id bigint").distinct()
     near = near.join(nodes.select("id", "sig"), "id").join(nodes.select(F.col("id").alias("id2"), F.col("sig").alias("sig2")), "id2")
     near = near.select(F.col("id").alias("a"), F.col("id2").alias("b"), jaccard(F.col("sig"), F.col("sig2")).alias("similarity")).where(F.col("similarity") >= threshold)
     copies = rows.join(nodes.select("h", "g", "id"), ["h", "g"]).where(F.col("id") < F.col(key))
@@ -270,32 +376,10 @@ def minhash_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id",
             flat = pa.FixedSizeBinaryArray.from_buffers(pa.binary(n // 8), len(ids), [None, pa.py_buffer(sketch.tobytes())]).cast(pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("sig"), pa.array(bound), pa.array(share), flat], ["id", "sig", "bound", "share", "sketch"])
 
-    nodes_bound = nodes.select(F.col("id").cast("bigint").alias("id"), "sig").mapInArrow(bounded, "id bigint, sig array<bigint>, bound bigint, share double, sketch binary").persist()
-
-    def met(batches):
-        names, rest = ("t", "k", "id", "bound"), None
-        for batch in batches:
-            cols = [batch.column(x).to_numpy() for x in names]
-            cols.append(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(batch), -1))
-            rest = cols if rest is None else [np.concatenate(x) for x in zip(rest, cols, strict=True)]
-            t, k = rest[0], rest[1]
-            if not len(t):
-                continue
-            # The last bucket may go on in the next batch.
-            cut = int(np.flatnonzero(np.r_[True, (t[1:] != t[:-1]) | (k[1:] != k[:-1])])[-1])
-            done, rest = [x[:cut] for x in rest], [x[cut:] for x in rest]
-            if cut:
-                yield from paired(*done)
-        if rest is not None and len(rest[0]):
-            yield from paired(*rest)
-
-    def paired(t, k, ids, bound, sketch):
-        for a, b in _eligible(t, k, ids, np.minimum(ids, bound), sketch, apart):
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["id", "id2"])
+    nodes_bound = reused(nodes.select(F.col("id").cast("bigint").alias("id"), "sig").mapInArrow(bounded, "id bigint, sig array<bigint>, bound bigint, share double, sketch binary"))
 
     keyed = nodes_bound.select("id", "bound", "sketch", F.posexplode(_keys(F.col("sig"), tables, n, seed)).alias("t", "k"))
-    near = keyed.repartition("t", "k").sortWithinPartitions("t", "k", "id").mapInArrow(met, "id bigint, id2 bigint").distinct()
+    near = keyed.repartition("t", "k").sortWithinPartitions("t", "k", "id").mapInArrow(_met(apart), "id bigint, id2 bigint").distinct()
     near = near.join(nodes_bound.select("id", "sig"), "id").join(nodes_bound.select(F.col("id").alias("id2"), F.col("sig").alias("sig2")), "id2")
     near = near.select("id", F.col("id2").alias("duplicate_of"), jaccard(F.col("sig"), F.col("sig2")).alias("similarity")).where(F.col("similarity") >= threshold)
     near = near.unionByName(nodes_bound.where(F.col("bound") < never).select("id", F.col("bound").alias("duplicate_of"), F.col("share").alias("similarity")))

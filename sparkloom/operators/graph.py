@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -16,6 +16,28 @@ def edges(df: DataFrame, labels: dict[str, Column], key: str = "doc_id", weight:
     return rows.where("e.label is not null").groupBy("doc_id", "e.kind", "e.label").agg(F.sum("weight").alias("weight"))
 
 
+def date_edges(df: DataFrame, when: Column, key: str = "doc_id", unit: str = "month") -> DataFrame:
+    """An edge of kind "date" per row with a date: its bin of ``unit``, as ISO text.
+    The one-hot matrix of binned dates, without its zeros."""
+    return edges(df, {"date": F.date_format(F.date_trunc(unit, when), "yyyy-MM-dd'T'HH:mm:ss")}, key)
+
+
+def dense_edges(df: DataFrame, vector: str = "embedding", key: str = "doc_id", kind: str = "embedding") -> DataFrame:
+    """An edge per entry of a vector that is not zero: its place is the label, its value the weight."""
+    rows = df.select(F.col(key).alias("doc_id"), F.posexplode(vector).alias("at", "weight")).where("weight <> 0")
+    return rows.select("doc_id", F.lit(kind).alias("kind"), F.col("at").cast("string").alias("label"), F.col("weight").cast("double").alias("weight"))
+
+
+def hypergraph(docs: DataFrame, *parts: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The edges of all parts together. An edge of a document that is not in ``docs``
+    raises when it is read."""
+    known = docs.select(F.col(key).alias("doc_id"), F.lit(True).alias("_known")).distinct()
+    every = reduce(DataFrame.unionByName, parts).groupBy("doc_id", "kind", "label").agg(F.sum("weight").alias("weight"))
+    held = every.join(known, "doc_id", "left")
+    stop = F.raise_error(F.concat(F.lit("no document "), F.col("doc_id").cast("string"))).cast("bigint")
+    return held.withColumn("doc_id", F.when(F.col("_known"), F.col("doc_id")).otherwise(stop)).drop("_known")
+
+
 def query(edges: DataFrame, wanted: dict[tuple[str, str], float], k: int = 10) -> DataFrame:
     """The ``k`` documents of largest summed weight over the wanted (kind, label) pairs."""
     if not wanted:
@@ -28,10 +50,22 @@ def related(edges: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """doc_id, other, score: the ``k`` documents that share most with each query document.
 
     A document's row of the incidence matrix times its transpose, for the query
-    set only; labels meet in an equi-join and the best k are kept by a bounded
-    aggregate, ties by id.
+    set only. Documents with the same labels and weights are one profile, so
+    profiles meet in the join, not documents; of each profile only the k + 1
+    smallest ids can be among the best of anyone. Ties go to the smaller id.
     """
-    q = edges.join(queries.select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("query"), "kind", "label", F.col("weight").alias("w"))
-    pairs = q.join(edges, ["kind", "label"]).where("query <> doc_id").groupBy("query", "doc_id").agg(F.sum(F.col("w") * F.col("weight")).alias("score"))
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("doc_id").alias("other")))), 1, k)
-    return pairs.groupBy("query").agg(best.alias("b")).select(F.col("query").alias("doc_id"), F.explode("b").alias("b")).select("doc_id", "b.other", (-F.col("b.s")).alias("score"))
+    rows = edges.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("kind", "label", "weight"))).alias("own"))  # the labels of one document
+    rows = rows.withColumns({"a": F.xxhash64("own"), "b": F.xxhash64(F.lit(1), "own")})
+    profiles = rows.groupBy("a", "b").agg(F.first("own").alias("own"))
+    first = rows.select("a", "b", "doc_id").withColumn("rn", F.row_number().over(Window.partitionBy("a", "b").orderBy("doc_id"))).where(F.col("rn") <= k + 1)
+    asked = rows.join(queries.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "a", "b")
+    wanted = profiles.join(asked.select("a", "b").distinct(), ["a", "b"], "left_semi").select(F.col("a").alias("qa"), F.col("b").alias("qb"), F.explode("own").alias("q"))
+    others = profiles.select("a", "b", F.explode("own").alias("o"))
+    met = wanted.join(others, (F.col("q.kind") == F.col("o.kind")) & (F.col("q.label") == F.col("o.label")))
+    scores = met.groupBy("qa", "qb", "a", "b").agg(F.sum(F.col("q.weight") * F.col("o.weight")).alias("score"))
+    order = Window.partitionBy("qa", "qb").orderBy(F.desc("score"), "other")
+    best = scores.join(first.select("a", "b", F.col("doc_id").alias("other")), ["a", "b"]).withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= k + 1)
+    best = best.select(F.col("qa").alias("a"), F.col("qb").alias("b"), "other", "score")
+    found = asked.join(best, ["a", "b"]).where("doc_id <> other")
+    last = Window.partitionBy("doc_id").orderBy(F.desc("score"), "other")
+    return found.withColumn("rn", F.row_number().over(last)).where(F.col("rn") <= k).select("doc_id", "other", "score")

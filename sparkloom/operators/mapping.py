@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions import scoring as S
+from sparkloom.operators import monitor
 
 
 class Projector(Protocol):
@@ -127,35 +128,50 @@ def hdbscan(points: np.ndarray, min_size: int = 5) -> np.ndarray:
 
 
 class DensityClusterer:
-    """HDBSCAN on at most ``most`` rows, the first by a hash of their key; the other
-    rows take the cluster of their nearest sampled row, or none beyond ``reach``
-    times that cluster's median spacing."""
+    """HDBSCAN on at most ``most`` rows, the first by a hash of their key; with no
+    more rows than that it is HDBSCAN of all. The other rows take the cluster of
+    their nearest sampled row, or none (-1) further from it than ``reach`` times
+    the median distance of that cluster's sampled rows to their nearest ones. Rows
+    without a place, null or NaN, are in no cluster."""
 
-    def __init__(self, min_size: int = 5, most: int = 3000, key: str = "vec_id"):
-        self.min_size, self.most, self.key = min_size, most, key
+    def __init__(self, min_size: int = 5, most: int = 3000, key: str = "vec_id", reach: float = 3.0):
+        self.min_size, self.most, self.key, self.reach = min_size, most, key, reach
 
     def cluster(self, df: DataFrame) -> DataFrame:
-        sample = df.select(self.key, "x", "y").where("x is not null").orderBy(F.xxhash64(self.key), self.key).limit(self.most).toPandas().sort_values(self.key)
+        placed = F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")
+        sample = df.where(placed).select(self.key, "x", "y").orderBy(F.xxhash64(self.key), self.key).limit(self.most).toPandas().sort_values(self.key)
         points = sample[["x", "y"]].to_numpy()
         labels = hdbscan(points, self.min_size)
-        held = df.sparkSession.sparkContext.broadcast((points, labels))
+        limits = self.limits(points, labels)
+        held = df.sparkSession.sparkContext.broadcast((points, labels, limits))
 
         @F.pandas_udf("int")
         def assign(x, y):
             import pandas as pd
 
-            known, own = held.value
-            if not len(known):
-                return pd.Series([-1] * len(x), dtype="int32")
-            out = np.empty(len(x), dtype="int32")
-            for start in range(0, len(x), 2048):
-                p = np.column_stack([x[start : start + 2048], y[start : start + 2048]])
-                near = ((p[:, None, :] - known[None, :, :]) ** 2).sum(axis=2).argmin(axis=1)
-                out[start : start + 2048] = own[near]
+            known, own, far = held.value
+            out = np.full(len(x), -1, dtype="int32")
+            at = np.flatnonzero(np.isfinite(x.to_numpy(dtype=float)) & np.isfinite(y.to_numpy(dtype=float))) if len(known) else np.zeros(0, dtype=int)
+            for start in range(0, len(at), 2048):
+                some = at[start : start + 2048]
+                p = np.column_stack([x.to_numpy()[some], y.to_numpy()[some]])
+                d = ((p[:, None, :] - known[None, :, :]) ** 2).sum(axis=2)
+                near = d.argmin(axis=1)
+                out[some] = np.where(np.sqrt(d[np.arange(len(some)), near]) <= far[near], own[near], -1)
             return pd.Series(out)
 
         return df.withColumn("cluster_id", assign("x", "y"))
 
+    def limits(self, points: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        """How far each sampled point's cluster reaches from it."""
+        out = np.zeros(len(points))
+        for c in set(labels.tolist()) - {-1}:
+            at = np.flatnonzero(labels == c)
+            d = ((points[at][:, None, :] - points[at][None, :, :]) ** 2).sum(axis=2)
+            np.fill_diagonal(d, np.inf)
+            out[at] = self.reach * float(np.median(np.sqrt(d.min(axis=1))))
+        return out
+
 
 COMPONENTS: dict[str, dict[str, Callable]] = {"projector": {"pca": PcaProjector}, "clusterer": {"density": DensityClusterer}}
 
@@ -181,6 +197,12 @@ def mapped(vectors: DataFrame, docs: DataFrame, projector: Projector | None = No
     return joined.select(key, "x", "y", z.alias("z"), "cluster_id", "quality_score", "domain", "content_type")
 
 
+def quality_clusters(vectors: DataFrame, docs: DataFrame, projector: Projector | None = None, clusterer: Clusterer | None = None, key: str = "vec_id") -> DataFrame:
+    """Density clusters of 50 rows or more with their quality and domain concentration."""
+    rows = mapped(vectors, docs, projector, clusterer or DensityClusterer(min_size=50, key=key), key)
+    return monitor.cluster_profile(rows.where("cluster_id <> -1"))
+
+
 def mapping_stats(rows: DataFrame, cluster: str = "cluster_id") -> DataFrame:
     c = F.col(cluster)
     return rows.agg(F.count("*").alias("n_docs"), F.count_distinct(F.when(c != -1, c)).alias("n_clusters"), F.count_if(c == -1).alias("n_orphans"))

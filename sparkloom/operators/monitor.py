@@ -49,15 +49,22 @@ def corpus_stats(docs: DataFrame) -> DataFrame:
     return active.agg(F.count("*").alias("n_docs"), F.count_distinct(F.when(F.col("cluster_id") != -1, F.col("cluster_id"))).alias("n_clusters"), F.avg("quality_score").alias("avg_quality"), F.count_if(F.col("has_vector")).alias("n_vectors"))
 
 
-def coverage(docs: DataFrame, topic: str = "content_type", domain: str = "domain") -> DataFrame:
+def coverage(docs: DataFrame, topic: str = "content_type", domain: str = "domain", scored: DataFrame | None = None) -> DataFrame:
     """One row of coverage metrics over all documents, whatever their status; the
-    null cluster counts as a cluster."""
-    clusters = docs.groupBy("cluster_id").agg(F.count("*").alias("n"))
+    null cluster counts as a cluster.
+
+    ``scored`` has cluster_id and quality_score where scores cost work; ``docs``
+    then needs none. Documents are counted once, by topic, domain and cluster.
+    """
+    scored = docs if scored is None else scored
+    cells = docs.groupBy(topic, domain, "cluster_id").agg(F.count("*").alias("n"))
+    clusters = cells.groupBy("cluster_id").agg(F.sum("n").alias("n"))
     whole = clusters.agg(F.sum("n").alias("total"), F.count_if(~F.col("cluster_id").eqNullSafe(-1)).alias("cluster_count"), F.max(F.when(~F.col("cluster_id").eqNullSafe(-1), F.col("n"))).alias("largest"), F.sum(F.when(F.col("cluster_id") == -1, F.col("n")).otherwise(0)).alias("orphans"))
-    high = docs.agg(F.count_if((F.col("cluster_id") == -1) & (F.col("quality_score") > 0.7)).alias("high_quality_orphans"))
+    high = scored.where("cluster_id = -1").agg(F.count_if(F.col("quality_score") > 0.7).alias("high_quality_orphans"))
     total = F.greatest(F.coalesce("total", F.lit(0)), F.lit(1))
+    by = lambda column: cells.groupBy(column).agg(F.sum("n").alias("n_docs"))
     # Four tables of one row each.
-    one = gini(distribution(docs, topic), out="topic_gini").crossJoin(gini(distribution(docs, domain), out="domain_gini")).crossJoin(whole).crossJoin(high)
+    one = gini(by(topic), out="topic_gini").crossJoin(gini(by(domain), out="domain_gini")).crossJoin(whole).crossJoin(high)
     return one.select("topic_gini", "domain_gini", (F.coalesce("orphans", F.lit(0)) / total).alias("orphan_rate"), "high_quality_orphans", "cluster_count", (F.coalesce("largest", F.lit(0)) / total).alias("largest_cluster_pct"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions import scoring as S
 from sparkloom.operators import catalog as C
 from sparkloom.operators import monitor as M
-from sparkloom.plans.frames import DOCS_SQL, METRICS_SQL, PLAIN_SQL, docs_view, metrics, table
+from sparkloom.plans.frames import DOCS_SQL, METRICS, METRICS_SQL, PLAIN_SQL, docs_view, metrics, table
 from sparkloom.plans.registry import query
 
 
@@ -130,9 +130,19 @@ _COVERAGE_SQL = (
 )
 
 
+def _coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage of all documents; only the texts of the noise cluster are read and scored."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), F.col("label").alias("cluster_id"))
+    rows = docs.select("doc_id", F.col("source").alias("domain"), F.col("lang").alias("content_type")).join(labels, "doc_id", "left")
+    noise = docs.join(labels.where("cluster_id = 0"), "doc_id").select("doc_id", "text", "source", "cluster_id")
+    scored = S.with_metrics(noise, host=F.col("source")).select("cluster_id", F.round(S.linear_score(), 9).alias("quality_score"))
+    return M.coverage(_orphaned(rows), scored=_orphaned(scored))
+
+
 @query(_COVERAGE_SQL + "SELECT * FROM v")
 def coverage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = M.coverage(_orphaned(docs_view(spark, sf_dir)))
+    c = _coverage(spark, sf_dir)
     return c.withColumns({k: F.round(k, 9) for k in ("topic_gini", "domain_gini", "orphan_rate", "largest_cluster_pct")})
 
 
@@ -141,7 +151,7 @@ def health_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkloom.config import DEFAULTS
 
     low = DEFAULTS.with_(gini_threshold=0.3, orphan_rate_threshold=0.01)
-    return M.alerts(M.coverage(_orphaned(docs_view(spark, sf_dir))), low)
+    return M.alerts(_coverage(spark, sf_dir), low)
 
 
 @query(DOCS_SQL + """, g AS (SELECT cluster_id, domain, count(*) AS n, sum(quality_score) AS s, sum(quality_score * quality_score) AS s2 FROM d WHERE cluster_id IS NOT NULL GROUP BY 1, 2),
@@ -232,13 +242,17 @@ def validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.round("exemplary", 6).alias("exemplary"), F.round("garbage", 6).alias("garbage"), "separated", F.round("qadi", 6).alias("qadi"), "passed")
 
 
-@query(_GOLDEN_SQL + ", x AS (SELECT *, (label = 5)::INT AS y FROM g) SELECT count(*) AS n, round(sum(writing_quality * writing_quality), 6) AS ww, round(sum(writing_quality * content_depth), 6) AS wd, round(sum(writing_quality * y), 6) AS wy FROM x")
+_PAIRS = [(a, b) for i, a in enumerate(METRICS) for b in (*METRICS[i:], "y")]
+
+
+@query(_GOLDEN_SQL + ", x AS (SELECT *, (label = 5)::INT AS y FROM g) SELECT count(*) AS n, " + ", ".join(f"round(sum({a} * {b}), 6) AS {a}__{b}" for a, b in _PAIRS) + " FROM x")
 def gram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The normal equations of all seven metrics."""
     from sparkloom.operators import calibrate
 
     rows = golden(spark, sf_dir).withColumn("y", (F.col("label") == 5).cast("double"))
-    g = calibrate.gram(rows, ["writing_quality", "content_depth"])
-    return g.select("n", F.round("writing_quality__writing_quality", 6).alias("ww"), F.round("writing_quality__content_depth", 6).alias("wd"), F.round("writing_quality__y", 6).alias("wy"))
+    g = calibrate.gram(rows, METRICS)
+    return g.select("n", *(F.round(f"{a}__{b}", 6).alias(f"{a}__{b}") for a, b in _PAIRS))
 
 
 @query()

@@ -34,43 +34,90 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FP = " + ".join(f"(CASE WHEN b{i} THEN {1 << i}::UBIGINT ELSE 0::UBIGINT END)" for i in range(64))
 
 
-@query(SIMHASH_SQL + f""", f AS (SELECT doc_id, {_FP} AS fp FROM b), p AS (SELECT b.doc_id, a.doc_id AS duplicate_of, bit_count(xor(a.fp, b.fp)) AS d FROM f a JOIN f b ON a.doc_id < b.doc_id WHERE a.fp <> 0 AND b.fp <> 0)
-SELECT doc_id, min(duplicate_of) AS duplicate_of, 1 - arg_min(d, duplicate_of) / 64e0 AS similarity FROM p WHERE d <= 3 GROUP BY doc_id""")
+_NEAR = f"""f AS (SELECT w.doc_id, CASE WHEN b.doc_id IS NULL THEN 0::UBIGINT ELSE {_FP} END AS fp FROM w LEFT JOIN b USING (doc_id) WHERE w.w IS NOT NULL),
+sp AS (SELECT b.doc_id, a.doc_id AS duplicate_of, bit_count(xor(a.fp, b.fp)) AS d FROM f a JOIN f b ON a.doc_id < b.doc_id),
+sd AS (SELECT doc_id, min(duplicate_of) AS duplicate_of, 1 - arg_min(d, duplicate_of) / 64e0 AS similarity FROM sp WHERE d <= 3 GROUP BY doc_id)
+"""
+
+
+@query(SIMHASH_SQL + ", " + _NEAR + "SELECT * FROM sd")
 def dup_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.simhash_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query()
+_A, _B = ("[" + ", ".join(f"{x}::UBIGINT" for x in xs) + "]" for xs in D.permutations())
+#: Signatures m(doc_id, s): zeros under five characters.
+MINHASH_SQL = f"""mt AS (SELECT doc_id, lower(text) AS t FROM documents WHERE text IS NOT NULL),
+mg AS (SELECT DISTINCT doc_id, substring(t, i, 5) AS g FROM (SELECT doc_id, t, unnest(range(1, length(t) - 3)) AS i FROM mt)),
+mx AS (SELECT DISTINCT doc_id, ('0x' || h[7:8] || h[5:6] || h[3:4] || h[1:2])::UBIGINT AS x FROM (SELECT doc_id, md5(g) AS h FROM mg)),
+mp AS (SELECT unnest(range(1, {len(D.permutations()[0]) + 1})) AS i, unnest({_A}) AS pa, unnest({_B}) AS pb),
+ms AS (SELECT doc_id, i, min((pa * x + pb) % {D.PRIME}::UBIGINT) AS v FROM mx, mp GROUP BY 1, 2),
+ml AS (SELECT doc_id, list(v::BIGINT ORDER BY i) AS s FROM ms GROUP BY 1),
+m AS (SELECT mt.doc_id, coalesce(s, list_transform(range(128), lambda k: 0::BIGINT)) AS s FROM mt LEFT JOIN ml USING (doc_id))
+"""
+_ALIKE = "list_sum(list_transform(range(1, 129), lambda k: (a.s[k] = b.s[k])::INT)) / 128e0"
+_MIN = f"""mq AS (SELECT b.doc_id, a.doc_id AS duplicate_of, {_ALIKE} AS similarity FROM m a JOIN m b ON a.doc_id < b.doc_id),
+md AS (SELECT doc_id, min(duplicate_of) AS duplicate_of, arg_min(similarity, duplicate_of) AS similarity FROM mq WHERE similarity >= 5e-1 GROUP BY 1)
+"""
+
+
+@query(f"WITH {MINHASH_SQL} SELECT doc_id, array_to_string(s, ',') AS signature FROM m")
 def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", D.minhash(F.col("text")).alias("signature"))
+    docs = table(spark, sf_dir, "documents").where("text is not null")
+    return docs.select("doc_id", F.array_join(D.minhash(F.col("text")).cast("array<string>"), ",").alias("signature"))
 
 
-@query()
+@query(f"""WITH {MINHASH_SQL}, c AS (SELECT min(doc_id) AS doc_id, s FROM m GROUP BY s)
+SELECT a.doc_id AS a, b.doc_id AS b, {_ALIKE} AS similarity FROM c a JOIN c b ON a.doc_id < b.doc_id WHERE {_ALIKE} >= 8e-1
+UNION ALL SELECT c.doc_id, m.doc_id, 1e0 FROM c JOIN m USING (s) WHERE c.doc_id < m.doc_id""")
 def minhash_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.minhash_pairs(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=0.8)
 
 
-@query()
+@query(f"WITH {MINHASH_SQL}, {_MIN} SELECT * FROM md")
 def dup_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.minhash_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=0.5)
 
 
-@query()
+_COMBINED = f"{SIMHASH_SQL}, {_NEAR}, {MINHASH_SQL}, {_MIN}, r AS (SELECT doc_id, 'simhash' AS reason, duplicate_of, similarity FROM sd UNION ALL SELECT doc_id, 'minhash', duplicate_of, similarity FROM md WHERE doc_id NOT IN (SELECT doc_id FROM sd)) "
+
+
+@query(_COMBINED + "SELECT * FROM r")
+def dedup_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.combined(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query(_COMBINED + "SELECT reason, count(*) AS n_docs FROM r GROUP BY 1")
 def dedup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.stats(D.combined(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
-_UNIT = "list_transform(embedding, lambda x: x::DOUBLE)"
+#: The vectors with two planted copies of every tenth, one exact and one bent a little: ids from 10^9 and 2 * 10^9 on.
+_PLANTED = """WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+v AS (SELECT * FROM e UNION ALL SELECT vec_id + 1000000000, v FROM e WHERE vec_id % 10 = 0
+UNION ALL SELECT vec_id + 2000000000, list_transform(v, lambda x, i: x + CASE WHEN i = 1 THEN 2e-1 ELSE 0e0 END) FROM e WHERE vec_id % 10 = 0) """
 _COSINE = "list_cosine_similarity(a.v, b.v)"
-_VECTORS = f"WITH v AS (SELECT vec_id, label, {_UNIT} AS v FROM embeddings) "
 
 
-@query(_VECTORS + f"SELECT DISTINCT b.vec_id FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE {_COSINE} > 95e-2")
+def _planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"))
+    some = rows.where("vec_id % 10 = 0")
+    bent = F.transform("embedding", lambda x, i: x + F.when(i == 0, 0.2).otherwise(0.0))
+    return rows.union(some.select(F.col("vec_id") + 1_000_000_000, "embedding")).union(some.select(F.col("vec_id") + 2_000_000_000, bent))
+
+
+@query(_PLANTED + f"SELECT DISTINCT b.vec_id FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE {_COSINE} > 95e-2")
 def dup_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.cosine_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return D.cosine_duplicates(_planted(spark, sf_dir))
 
 
-@query(_VECTORS + f"SELECT b.vec_id, max_by(a.vec_id, {_COSINE}) AS duplicate_of, round(max({_COSINE}), 6) AS similarity FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE {_COSINE} >= 95e-2 GROUP BY 1")
+@query(_PLANTED + f""", n AS (SELECT b.vec_id, a.vec_id AS o, round({_COSINE}, 12) AS s FROM v a JOIN v b ON a.vec_id < b.vec_id WHERE {_COSINE} >= 95e-2)
+SELECT vec_id, arg_max(o, (s, -o)) AS duplicate_of, round(max(s), 6) AS similarity FROM n GROUP BY 1""")
 def dup_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = D.cosine_nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
-    return found.withColumn("similarity", F.round("similarity", 6))
+    return D.cosine_nearest(_planted(spark, sf_dir)).withColumn("similarity", F.round("similarity", 6))
+
+
+@query(_PLANTED + f", c AS (SELECT min(vec_id) AS vec_id, v FROM v GROUP BY v) SELECT a.vec_id AS a, b.vec_id AS b, round({_COSINE}, 6) AS similarity FROM c a JOIN c b ON a.vec_id < b.vec_id WHERE {_COSINE} > 95e-2")
+def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of different vectors; equal ones go through their first row."""
+    return D.cosine_pairs(_planted(spark, sf_dir)).withColumn("similarity", F.round("similarity", 6))

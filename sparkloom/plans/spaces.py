@@ -85,9 +85,21 @@ def _quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _embeddings(spark, sf_dir).select("vec_id", "embedding", ((F.col("vec_id") * 37 % 101) / 101).alias("quality"))
 
 
-@query()
+def _greedy_sql(k: int) -> str:
+    """The sample of fps_batch, a step of the greedy choice at a time."""
+    steps = [
+        _V + ", s0 AS MATERIALIZED (SELECT vec_id, v, (vec_id * 37 % 101) / 101e0 AS q, NULL::DOUBLE AS d FROM v)",
+        "p0 AS MATERIALIZED (SELECT vec_id, v, 0 AS rank, 1e0 AS novelty FROM s0 ORDER BY q DESC, vec_id LIMIT 1)",
+    ]
+    for i in range(1, k):
+        steps.append(f"s{i} AS MATERIALIZED (SELECT s.vec_id, s.v, s.q, least(coalesce(s.d, 9e0), 1 - list_cosine_similarity(s.v, p.v)) AS d FROM s{i - 1} s, p{i - 1} p WHERE s.vec_id <> p.vec_id)")
+        steps.append(f"p{i} AS MATERIALIZED (SELECT vec_id, v, {i} AS rank, d AS novelty FROM s{i} ORDER BY round(d * greatest(q, 1e-2), 12) DESC, vec_id LIMIT 1)")
+    return ", ".join(steps) + " ".join(f"{' UNION ALL' if i else ''} SELECT vec_id, rank::BIGINT AS rank, round(novelty, 6) AS novelty FROM p{i}" for i in range(k))
+
+
+@query(_greedy_sql(25))
 def fps_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return V.fps_sample(_quality(spark, sf_dir), 25)
+    return V.fps_sample(_quality(spark, sf_dir), 25).withColumn("novelty", F.round("novelty", 6))
 
 
 @query(_V + """, p AS (SELECT vec_id, v, (vec_id * 37 % 101) / 101e0 AS q FROM v), a AS (SELECT * FROM p ORDER BY q DESC, vec_id LIMIT 1),

@@ -10,6 +10,7 @@ from sparkloom.functions import url as U
 from sparkloom.operators import dedup as D
 from sparkloom.plans.frames import table
 from sparkloom.plans.registry import query
+from sparkloom.store import new_folder
 
 _HOST = r"regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://([^/?#]*))?', 1)"
 _PATH = r"regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)', 1)"
@@ -119,3 +120,49 @@ def html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkloom.functions import html
 
     return html.extracted(table(spark, sf_dir, "pages")).select("page_id", "title", "author", "date", F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
+def _written(spark: SparkSession, rows: DataFrame, name: str) -> str:
+    """The lines of ``rows`` as text files in a folder of their own below the shared one."""
+    path = new_folder(spark, name)
+    rows.write.text(path)
+    return path
+
+
+@query("SELECT url, md5(html) AS html_md5 FROM pages WHERE coalesce(url, '') <> ''")
+def source_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages through JSON lines with alias keys, and read back."""
+    from sparkloom.sources import readers
+
+    p = table(spark, sf_dir, "pages")
+    one = F.to_json(F.struct(F.col("url").alias("URL"), F.col("html").alias("content")))
+    two = F.to_json(F.struct(F.col("url").alias("link"), "html"))
+    lines = p.select(F.when(F.col("page_id") % 2 == 0, one).otherwise(two).alias("value"))
+    return readers.jsonl(spark, _written(spark, lines, "jsonl")).select("url", F.md5("html").alias("html_md5"))
+
+
+@query("SELECT trim(split_part(url, ',', 1)) AS url, count(*) AS n_rows FROM pages WHERE trim(split_part(url, ',', 1)) LIKE 'http%' GROUP BY 1")
+def source_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' URLs through a list with comments and blank lines, and read back."""
+    from sparkloom.sources import readers
+
+    p = table(spark, sf_dir, "pages").where("url is not null")
+    lines = p.select(F.explode(F.array(F.concat(F.col("url"), F.lit(", a note")), F.lit("# a comment"), F.lit(""), F.lit("ftp://no"))).alias("value"))
+    return readers.url_list(spark, _written(spark, lines, "urls")).groupBy("url").agg(F.count("*").alias("n_rows"))
+
+
+@query(CANONICAL_SQL + "SELECT canonical_url FROM u WHERE canonical_url <> ''")
+def canonical_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The canonical URLs of all stored pages, for resuming."""
+    from sparkloom.sources import readers
+
+    return readers.canonical_urls(table(spark, sf_dir, "pages").select(U.canonical(F.col("url")).alias("canonical_url")))
+
+
+@query("SELECT page_id, url FROM (SELECT *, row_number() OVER (PARTITION BY page_id % 3 ORDER BY page_id) AS rn FROM pages) WHERE rn <= 10")
+def ingest_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten rows of each of three dumps; the limit is the feature."""
+    from sparkloom.sources import readers
+
+    p = table(spark, sf_dir, "pages").withColumn("source", F.col("page_id") % 3)
+    return readers.first_of_dump(p, per_dump=10, order="page_id").select("page_id", "url")

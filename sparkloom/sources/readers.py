@@ -7,13 +7,16 @@ Unreadable lines and archives are skipped; a missing path raises.
 from __future__ import annotations
 
 import io
+import lzma
 import tarfile
+import time
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkloom.functions import scoring as S
@@ -128,22 +131,46 @@ def slop_rows(archive: bytes, name: str) -> Iterator[tuple[str, str | None, str
             yield url, bodies[i] if i < len(bodies) else None, domain, name
 
 
+def tar_members(path: str, suffix: str = "") -> Iterator[tuple[str, bytes]]:
+    """(name, content) of the files of a tar, as far as it can be read: a broken or
+    cut-off tar gives the files before the fault."""
+    from pyarrow import fs
+
+    system, base = fs.FileSystem.from_uri(path)
+    with system.open_input_stream(base, compression=None) as raw:
+        try:
+            with tarfile.open(fileobj=raw, mode="r|*") as tar:
+                for m in tar:
+                    if m.isfile() and m.name.endswith(suffix):
+                        yield m.name, tar.extractfile(m).read()
+        except (tarfile.TarError, EOFError, zlib.error, lzma.LZMAError, OSError):
+            return
+
+
+def _some(rows: Iterator[tuple], most: int = 4 << 20) -> list[tuple]:
+    """The next rows, of about ``most`` characters together."""
+    out, size = [], 0
+    for row in rows:
+        out.append(row)
+        size += sum(len(x) for x in row if x)
+        if size > most:
+            break
+    return out
+
+
 def slop(spark: SparkSession, path: str) -> DataFrame:
-    """Column archives (*.slop.zip) in tar files, a task a file and an archive at a time."""
+    """Column archives (*.slop.zip) in tar files, a task a file and an archive at a
+    time; broken tars and archives give what stands before the fault."""
     files = spark.read.format("binaryFile").load(path).select("path")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                system, base = fs.FileSystem.from_uri(path)
-                with system.open_input_stream(base, compression=None) as raw, tarfile.open(fileobj=raw, mode="r|*") as tar:
-                    for m in tar:
-                        if m.isfile() and m.name.endswith(".slop.zip"):
-                            rows = list(slop_rows(tar.extractfile(m).read(), m.name))
-                            columns = [pa.array([r[i] for r in rows], pa.string()) for i in range(4)]
-                            yield pa.RecordBatch.from_arrays(columns, ["url", "html", "domain", "archive"])
+                for name, data in tar_members(path, ".slop.zip"):
+                    rows = slop_rows(data, name)
+                    while part := _some(rows):
+                        columns = [pa.array([r[i] for r in part], pa.string()) for i in range(4)]
+                        yield pa.RecordBatch.from_arrays(columns, ["url", "html", "domain", "archive"])
 
     rows = files.repartition(max(1, files.count())).mapInArrow(read, "url string, html string, domain string, archive string")
     return _dump(rows, url=F.col("url"), html=F.col("html"), domain=F.col("domain"), metadata=F.create_map(F.lit("source_archive"), F.col("archive")))
@@ -168,23 +195,76 @@ def adapter(path: str, is_directory: bool = False) -> Reader:
     raise TypeError(f"no reader for {path}")
 
 
-def fetched(urls: DataFrame, fetch: Callable[[str], str | None] | None = None) -> DataFrame:
-    """The dump with html where it is missing: from ``fetch``, called in the tasks,
-    or passed through as it is where no fetch is given."""
+def with_retry(get: Callable[[str], tuple[int, str | None]], attempts: int = 2, fallback: Callable[[str], str | None] | None = None, sleep: Callable[[float], None] = time.sleep) -> Callable[[str], str | None]:
+    """A fetch for fetched() from ``get``, which gives (status, body).
+
+    Status 200 gives the body. After 429 and 503 it waits 2^n seconds, after a
+    time-out or connection error not; before each further attempt it waits
+    2^n / 2. Other statuses and errors end it. Where no body came, ``fallback`` is
+    asked.
+    """
+
+    def fetch(url: str) -> str | None:
+        body = None
+        for n in range(attempts):
+            try:
+                status, found = get(url)
+                if status == 200:
+                    body = found
+                    break
+                if status not in (429, 503):
+                    break
+                sleep(2.0**n)
+            except (TimeoutError, ConnectionError):
+                pass
+            except Exception:
+                break
+            if n < attempts - 1:
+                sleep(0.5 * 2**n)
+        return body or (fallback(url) if fallback else None)
+
+    return fetch
+
+
+def fetched(urls: DataFrame, fetch: Callable[[str], str | None] | None = None, at_once: int = 16) -> DataFrame:
+    """The dump with html where neither it nor text is there: from ``fetch``, called
+    in the tasks ``at_once`` at a time, or passed through where no fetch is given.
+    A fetch that fails leaves html null."""
     if fetch is None:
         return urls
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pylist()
-            for r in rows:
-                if r["html"] is None and r["text"] is None:
-                    r["html"] = fetch(r["url"])
-            yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
+        from concurrent.futures import ThreadPoolExecutor
+
+        def one(r: dict) -> str | None:
+            try:
+                return fetch(r["url"]) if r["html"] is None and r["text"] is None else r["html"]
+            except Exception:
+                return None
+
+        with ThreadPoolExecutor(at_once) as pool:
+            for batch in batches:
+                for start in range(0, len(batch), 256):
+                    part = batch.slice(start, 256)
+                    html = pa.array(list(pool.map(one, part.to_pylist())), pa.string())
+                    yield part.set_column(part.schema.get_field_index("html"), "html", html)
 
     return urls.mapInArrow(run, urls.schema)
 
 
+def first_of_dump(dump: DataFrame, per_dump: int | None = None, total: int | None = None, source: str = "source", order: str = "position") -> DataFrame:
+    """At most ``per_dump`` rows of each source, and ``total`` of all, in their order."""
+    if per_dump is not None:
+        rank = F.row_number().over(Window.partitionBy(source).orderBy(order))
+        dump = dump.withColumn("_rank", rank).where(F.col("_rank") <= per_dump).drop("_rank")
+    return dump if total is None else dump.orderBy(source, order).limit(total)
+
+
+def canonical_urls(docs: DataFrame, column: str = "canonical_url") -> DataFrame:
+    """The canonical URLs of stored documents that have one, for anti joins on resume."""
+    return docs.select(column).where(F.col(column).isNotNull() & (F.col(column) != ""))
+
+
 def archive(spark: SparkSession, path: str, schema: str = "id string, url string, text string, position bigint") -> DataFrame:
     """Archived texts (.jsonl, .gz, .zst by date); broken lines are skipped."""
     return spark.read.schema(schema).option("recursiveFileLookup", True).option("mode", "DROPMALFORMED").json(path)
@@ -201,14 +281,45 @@ def golden_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def mapping(spark: SparkSession, folder: str, mapping_id: str | None = None) -> DataFrame:
-    """The latest mapping by the manifest, or the named one; JSON where there is no table."""
+    """The latest mapping by the manifest, or the named one. Without a table: the
+    JSON lines that write_mapping() makes, or one JSON file with a list "mappings"."""
     from sparkloom.sources import sinks
 
     known = sinks.manifest(spark, folder)
     if known and (mapping_id is None or any(m["id"] == mapping_id for m in known)):
         name = mapping_id or known[-1]["id"]
         return spark.read.parquet(f"{folder}/{name}")
-    return spark.read.option("multiLine", True).json(f"{folder}/{mapping_id or 'latest'}.json").selectExpr("inline(mappings)")
+    name = mapping_id or "latest"
+    if sinks.exists(spark, f"{folder}/{name}-json"):
+        return spark.read.json(f"{folder}/{name}-json")
+    return spark.read.option("multiLine", True).json(f"{folder}/{name.removesuffix('.json')}.json").selectExpr("inline(mappings)")
+
+
+def mapping_list(spark: SparkSession, folder: str) -> list[dict]:
+    """id, name and created_at of the manifest's mappings in their order, then of the
+    JSON files that it does not name, the newest first."""
+    from sparkloom.sources import sinks
+
+    known = [{"id": m["id"], "name": m["id"].removesuffix(".parquet"), "created_at": m.get("created_at", "")} for m in sinks.manifest(spark, folder)]
+    files = [e for e in sinks.exports(spark, folder) if e["name"].endswith(".json") and e["name"] != "manifest.json"]
+    ids = {m["id"] for m in known}
+    return known + [{"id": e["name"], "name": e["name"].removesuffix(".json"), "created_at": e["modified"]} for e in sorted(files, key=lambda e: e["modified"], reverse=True) if e["name"] not in ids]
+
+
+def sample_tar(source: str, target: str, n: int, seed: int = 42) -> list[str]:
+    """Write ``n`` random files of a tar on this machine to a new one; their names.
+    More than there are raises. Names are read first, contents only of the chosen."""
+    import random
+
+    with tarfile.open(source, "r:*") as tar:
+        members = [m for m in tar.getmembers() if m.isfile()]
+        if n > len(members):
+            raise ValueError(f"{n} files of {len(members)}")
+        chosen = random.Random(seed).sample(members, n)
+        with tarfile.open(target, "w:gz" if target.endswith((".gz", ".tgz")) else "w") as out:
+            for m in chosen:
+                out.addfile(m, tar.extractfile(m))
+    return [m.name for m in chosen]
 
 
 def sample(df: DataFrame, n: int, seed: int = 42) -> DataFrame:

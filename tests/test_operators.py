@@ -77,10 +77,42 @@ def test_simhash_pairs_find_all(spark):
     assert got == {(i, j) for i, j in itertools.combinations(range(len(fps)), 2) if (fps[i] ^ fps[j]).bit_count() <= 3}
 
 
+def test_simhash_in_a_hot_bucket(spark):
+    """Hundreds of different fingerprints that agree on half of their bits."""
+    rng = random.Random(5)
+    high = rng.getrandbits(32) << 32
+    fps = [high | rng.getrandbits(32) for _ in range(300)]
+    fps += [x ^ (1 << rng.randrange(32)) ^ (1 << rng.randrange(64)) for x in fps[:150]] + [0, 1, 7, 15] + [fps[3], 0]
+    order = list(range(len(fps)))
+    rng.shuffle(order)
+    rows = [(i, fps[k] - (1 << 64) if fps[k] >> 63 else fps[k]) for i, k in enumerate(order)]
+    df = spark.createDataFrame(rows, "doc_id bigint, fp bigint").repartition(5)
+    distance = lambda a, b: (rows[a][1] ^ rows[b][1]).bit_count() if rows[a][1] ^ rows[b][1] >= 0 else ((rows[a][1] ^ rows[b][1]) & (1 << 64) - 1).bit_count()
+    nodes = df.groupBy("fp").agg(F.min("doc_id").alias("id"))
+    firsts = {}
+    for i, fp in rows:
+        firsts.setdefault(fp, i)
+    ids = sorted(firsts.values())
+    want = {(j, i) for i, j in itertools.combinations(ids, 2) if distance(i, j) <= 3}
+    for most in (16, 1000):
+        got = {(r["id"], r["id2"]) for r in dedup._simhash_links(nodes, 3, False, most).collect()}
+        assert got == want and len(want) > 100
+        least = dedup._simhash_links(nodes, 3, True, most).groupBy("id").agg(F.min("id2").alias("id2")).collect()
+        assert {r["id"]: r["id2"] for r in least} == {i: min(b for a, b in want if a == i) for i in {a for a, _ in want}}
+
+
+def test_long_texts_are_added_up_in_blocks(monkeypatch):
+    text = " ".join(f"w{i * 7919 % 5000}" for i in range(20_000))
+    whole = dedup.simhash_value(text)
+    monkeypatch.setattr(dedup, "BLOCK", 100)
+    assert dedup.simhash_value(text) == whole
+
+
 def test_simhash_and_minhash_duplicates(spark):
     rows = [(1, PANGRAM), (2, PANGRAM), (3, "wholly different words that share nothing with any other text at all"), (4, ""), (5, None), (6, "")]
     d = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert [(r["doc_id"], r["duplicate_of"], r["similarity"]) for r in dedup.simhash_duplicates(d).collect()] == [(2, 1, 1.0)]
+    # The two empty texts have the zero fingerprint.
+    assert sorted((r["doc_id"], r["duplicate_of"], r["similarity"]) for r in dedup.simhash_duplicates(d).collect()) == [(2, 1, 1.0), (6, 4, 1.0)]
     near = spark.createDataFrame([(1, PANGRAM * 3), (2, (PANGRAM * 3).replace("lazy", "hazy", 1)), (3, rows[2][1])], "doc_id bigint, text string")
     assert [(r["doc_id"], r["duplicate_of"]) for r in dedup.minhash_duplicates(near).collect()] == [(2, 1)]
     assert {r["doc_id"] for r in dedup.combined(near).collect()} == {2}
@@ -89,7 +121,7 @@ def test_simhash_and_minhash_duplicates(spark):
 
 def brute_minhash(texts, threshold):
     """The first earlier text at least ``threshold`` alike, by all pairs."""
-    sigs = {i: dedup.minhash_value(t, *dedup.permutations()) for i, t in texts.items() if t and len(t) >= 5}
+    sigs = {i: dedup.minhash_value(t, *dedup.permutations()) for i, t in texts.items() if t is not None}
     out = {}
     for i in sorted(sigs):
         if found := [(j, float((sigs[i] == sigs[j]).mean())) for j in sorted(sigs) if j < i and (sigs[i] == sigs[j]).mean() >= threshold]:
@@ -102,9 +134,9 @@ def test_minhash_copies(spark):
     texts = {1: PANGRAM, 2: near, 3: PANGRAM, 4: near, 5: "something else entirely was written here", 6: PANGRAM.upper(), 7: near, 8: "abc", 9: "abc", 10: None}
     d = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
     got = {r["doc_id"]: (r["duplicate_of"], r["similarity"]) for r in dedup.minhash_duplicates(d).collect()}
-    assert got == brute_minhash(texts, 0.5) and {i: x[0] for i, x in got.items()} == dict.fromkeys((2, 3, 4, 6, 7), 1)
+    assert got == brute_minhash(texts, 0.5) and {i: x[0] for i, x in got.items()} == dict.fromkeys((2, 3, 4, 6, 7), 1) | {9: 8}
     pairs = {(r["a"], r["b"]): r["similarity"] for r in dedup.minhash_pairs(d).collect()}
-    assert set(pairs) == {(1, 2), (1, 3), (1, 6), (2, 4), (2, 7)} and pairs[1, 3] == pairs[2, 7] == 1
+    assert set(pairs) == {(1, 2), (1, 3), (1, 6), (2, 4), (2, 7), (8, 9)} and pairs[1, 3] == pairs[2, 7] == 1
 
 
 def test_minhash_misses_no_pair_at_the_threshold(spark, monkeypatch):
@@ -229,6 +261,65 @@ def test_graph(spark):
     assert {(r["other"], r["score"]) for r in near} == {(2, 2.0), (3, 2.0)}
 
 
+def test_related_equals_all_pairs(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["de", "de", "de", "en"]), rng.choice("abc"), rng.choice([None, "x", "y"])) for i in range(300)]
+    d = spark.createDataFrame(rows, "doc_id bigint, topic string, site string, size string")
+    e = graph.edges(d, {k: F.col(k) for k in ("topic", "site", "size")})
+    asked = [0, 50, 299]
+    got = graph.related(e, spark.createDataFrame([(i,) for i in [*asked, 50, 999]], "doc_id bigint"), 7).collect()
+    for q in asked:
+        score = {r[0]: sum(a == b and a is not None for a, b in zip(rows[q][1:], r[1:], strict=True)) for r in rows if r[0] != q}
+        want = sorted(((-s, i) for i, s in score.items() if s))[:7]
+        assert sorted((-r["score"], r["other"]) for r in got if r["doc_id"] == q) == [(float(s), i) for s, i in want]
+    assert len(got) == 21
+
+
+def test_hypergraph_parts(spark):
+    d = spark.createDataFrame([(1, "2024-05-06", [0.5, 0.0]), (2, None, [0.0, -1.0])], "doc_id bigint, day string, embedding array<double>")
+    dates = graph.date_edges(d, F.to_timestamp("day"))
+    dense = graph.dense_edges(d)
+    assert [tuple(r) for r in dates.collect()] == [(1, "date", "2024-05-01T00:00:00", 1.0)]
+    assert sorted(map(tuple, dense.collect())) == [(1, "embedding", "0", 0.5), (2, "embedding", "1", -1.0)]
+    assert graph.hypergraph(d, dates, dense).count() == 3
+    with pytest.raises(Exception, match="no document 2"):
+        graph.hypergraph(d.where("doc_id = 1"), dates, dense).collect()
+
+
+def test_clusters_reach_only_so_far(spark):
+    rng = np.random.default_rng(1)
+    blobs = np.concatenate([rng.normal(c, 0.1, (60, 2)) for c in ((0, 0), (5, 5))])
+    rows = [(i, float(x), float(y)) for i, (x, y) in enumerate(blobs)] + [(900, 100.0, 100.0), (901, None, None), (902, float("nan"), 0.0), (903, 0.0, None)]
+    df = spark.createDataFrame(rows, "vec_id bigint, x double, y double")
+    got = {r["vec_id"]: r["cluster_id"] for r in mapping.DensityClusterer(most=80).cluster(df).collect()}
+    assert [got[i] for i in (900, 901, 902, 903)] == [-1] * 4
+    groups = [{got[i] for i in range(a, a + 60)} - {-1} for a in (0, 60)]
+    assert all(len(g) == 1 for g in groups) and groups[0] != groups[1]
+    assert sum(got[i] == -1 for i in range(120)) < 30
+    assert {r["cluster_id"] for r in mapping.DensityClusterer().cluster(df.limit(0)).collect()} == set()
+
+
+def test_protocols(spark):
+    from sparkloom import protocols as P
+
+    for kind, made in ((P.Embedder, P.HashingEmbedder()), (P.Scorer, P.LinearScorer()), (P.ScoreAggregator, P.WeightedMean()), (P.ContentTypeDetector, P.SignDetector()), (P.Deduplicator, P.CosineDeduplicator()), (P.SourceFunctor, P.ReaderSource())):
+        assert isinstance(made, kind)
+    d = spark.createDataFrame([("a b a", 0.5, 1.0)], "t string, x double, y double")
+    r = d.select(P.HashingEmbedder(8).encode(F.col("t")).alias("v"), P.WeightedMean().aggregate({"x": F.col("x"), "y": F.col("y")}, {"x": 1.0, "y": 3.0, "z": 9.0}).alias("s"), P.WeightedMean().aggregate({}, {}).alias("n")).first()
+    assert len(r["v"]) == 8 and r["s"] == 0.875 and r["n"] == 0.0
+
+
+def test_domain_folds(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"d{i % 20}", 5 if i % 2 else 1, *(float(x) for x in rng.random(7) * 0.3 + (0.6 if i % 2 else 0.0))) for i in range(200)]
+    from sparkloom.functions.scoring import WEIGHTS
+
+    d = spark.createDataFrame(rows, "domain string, label int, " + ", ".join(f"{k} double" for k in WEIGHTS))
+    per = calibrate.folds(d, 3).groupBy("domain").agg(F.count_distinct("fold").alias("n")).collect()
+    assert {r["n"] for r in per} == {1}
+    assert len(calibrate.cross_validated(d, 3)) == 3 and max(calibrate.cross_validated(d, 3)) < 0.3
+
+
 def test_hdbscan_finds_blobs():
     rng = np.random.default_rng(1)
     blobs = np.vstack([rng.normal(c, 0.2, (40, 2)) for c in ((0, 0), (5, 5), (0, 6))])

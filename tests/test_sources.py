@@ -77,6 +77,37 @@ def test_slop(spark, tmp_path):
     assert readers.strings(b"abc", readers.varints(encode(2) + encode(5))) == ["ab"]
 
 
+def test_broken_tars_give_what_stands_before(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    data = slop_zip([f"http://{i}" for i in range(3)], None)
+    raw = io.BytesIO()
+    with tarfile.open(fileobj=raw, mode="w") as tar:
+        for name in ("a.slop.zip", "b.slop.zip"):
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            tar.addfile(info, io.BytesIO(data))
+    (tmp_path / "t/whole.tar").write_bytes(raw.getvalue())
+    (tmp_path / "t/none.tar").write_bytes(b"no tar at all" * 100)
+    (tmp_path / "t/empty.tar").write_bytes(b"")
+    (tmp_path / "t/cut.tar.gz").write_bytes(gzip.compress(raw.getvalue())[:-200])
+    rows = readers.slop(spark, f"{tmp_path}/t").groupBy("url").count().collect()
+    assert {r["url"] for r in rows} == {"http://0", "http://1", "http://2"} and min(r["count"] for r in rows) >= 2
+    assert [len(x) for x in iter(lambda it=iter([("ab",)] * 5): readers._some(it, 3), [])] == [2, 2, 1]
+
+
+def test_tar_sample(tmp_path):
+    with tarfile.open(tmp_path / "d.tar", "w") as tar:
+        for i in range(6):
+            info = tarfile.TarInfo(f"f{i}")
+            info.size = 1
+            tar.addfile(info, io.BytesIO(b"%d" % i))
+    names = readers.sample_tar(str(tmp_path / "d.tar"), str(tmp_path / "o.tar"), 3)
+    with tarfile.open(tmp_path / "o.tar") as tar:
+        assert {m.name: tar.extractfile(m).read() for m in tar} == {n: n[1:].encode() for n in names} and len(names) == 3
+    with pytest.raises(ValueError):
+        readers.sample_tar(str(tmp_path / "d.tar"), str(tmp_path / "o.tar"), 7)
+
+
 def test_adapters():
     assert readers.adapter("x/curlie.txt") is readers.url_list
     assert readers.adapter("x/curlie.html") is readers.curlie
@@ -100,6 +131,100 @@ def test_fetch(spark):
     assert readers.fetched(d).first()["html"] is None
 
 
+def test_fetch_retries_and_falls_back(spark):
+    slept = []
+
+    def served(*answers):
+        rest = list(answers)
+
+        def get(url):
+            x = rest.pop(0)
+            if isinstance(x, Exception):
+                raise x
+            return x
+
+        return get
+
+    run = lambda *answers, **more: readers.with_retry(served(*answers), sleep=slept.append, **more)("u")
+    assert run((503, None), (200, "b")) == "b" and slept == [1.0, 0.5]
+    slept.clear()
+    assert run((404, "x"), (200, "b")) is None and slept == []
+    assert run((429, None), (429, None), (429, None), (200, "b"), attempts=3) is None and slept == [1.0, 0.5, 2.0, 1.0, 4.0]
+    assert run(TimeoutError(), (200, "b")) == "b" and run(ValueError(), (200, "b")) is None
+    assert run((500, None), fallback=lambda u: f"rendered {u}") == "rendered u"
+    rows = spark.createDataFrame([("a", None, None), ("b", "kept", None), ("c", None, "text"), ("bad", None, None)], "url string, html string, text string")
+
+    def fetch(url):
+        if url == "bad":
+            raise OSError
+        return url.upper()
+
+    assert {r["url"]: r["html"] for r in readers.fetched(rows, fetch).collect()} == {"a": "A", "b": "kept", "c": None, "bad": None}
+
+
+def test_limits_and_scans(spark):
+    d = spark.createDataFrame([("x", i, f"u{i}") for i in range(5)] + [("y", 9, None), ("y", 8, "")], "source string, position int, canonical_url string")
+    assert sorted(r["position"] for r in readers.first_of_dump(d, 2).collect()) == [0, 1, 8, 9]
+    assert readers.first_of_dump(d, 2, 3).count() == 3 and readers.first_of_dump(d, total=1).first()["position"] == 0
+    assert readers.canonical_urls(d).count() == 5
+
+
+def test_mapping_json_and_list(spark, tmp_path):
+    rows = spark.createDataFrame([(1, -1), (2, 3)], "doc_id bigint, cluster_id bigint")
+    folder = f"file://{tmp_path}/m"
+    sinks.write_mapping(rows, folder, "one", as_json=True)
+    (tmp_path / "m/old.json").write_text(json.dumps({"mappings": [{"doc_id": 7, "cluster_id": 1}]}))
+    assert [r["doc_id"] for r in readers.mapping(spark, folder, "old").collect()] == [7]
+    assert [(m["id"], m["name"]) for m in readers.mapping_list(spark, folder)] == [("one", "one"), ("old.json", "old")]
+    (tmp_path / "m/manifest.json").unlink()
+    (tmp_path / "m/.manifest.json.crc").unlink(missing_ok=True)
+    assert sorted(r["doc_id"] for r in readers.mapping(spark, folder, "one").collect()) == [1, 2]
+
+
+def test_archives_are_read_back(spark, tmp_path):
+    texts = spark.createDataFrame([("1", "é"), ("2", "b")], "id string, text string").withColumn("created_at", F.to_timestamp(F.lit("2024-05-06 01:02:03")))
+    sinks.write_archive(texts, f"{tmp_path}/a")
+    (tmp_path / "a/z.jsonl.zst").write_bytes(zstandard.ZstdCompressor().compress(b'{"id": "3", "text": "c"}\n'))
+    got = {r["id"]: r["text"] for r in readers.archive(spark, f"{tmp_path}/a").collect()}
+    assert got["1"] == "é" and got["2"] == "b"
+
+
+def test_arrival_order(spark):
+    old = spark.createDataFrame([], "id int, url string, v string")
+    new = spark.createDataFrame([(1, "a", "first"), (1, "b", "second"), (2, "a", "third"), (2, "c", "fourth")], "id int, url string, v string").coalesce(1)
+    assert {r["v"] for r in sinks.insert_ignore(old, new).collect()} == {"first"}
+    later = new.withColumn("n", F.when(F.col("v") == "second", 0).otherwise(1))
+    assert "second" in {r["v"] for r in sinks.insert_ignore(old.withColumn("n", F.lit(1)), later, ("id",), "n").collect()}
+    assert sinks.update(new, spark.createDataFrame([(1, None)], "id int, v string"), "id", with_nulls=True).where("v is null").count() == 2
+
+
+def test_search_index(spark, tmp_path):
+    index = sinks.SearchIndex(spark, f"file://{tmp_path}/i")
+    assert index.read() is None
+    d = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, title string")
+    index.add(d)
+    index.add(spark.createDataFrame([(2, "c"), (3, "d"), (3, "e")], "id bigint, title string"))
+    assert sorted(map(tuple, index.read().collect())) == [(1, "a"), (2, "c"), (3, "e")]
+    index.delete(d.where("id = 1"))
+    assert sorted(r["id"] for r in index.read().collect()) == [2, 3]
+    index.clear()
+    assert index.read().count() == 0
+    docs = spark.createDataFrame([(5, None, None, None, None, None, "active"), (6, "t", "d", "c", 0.5, 1, "duplicate")], "id bigint, title string, domain string, content_type string, quality_score double, cluster_id int, status string")
+    index.sync(docs)
+    assert [tuple(r) for r in index.read().collect()] == [(5, "", "", "unscored", 0.0, -1)]
+
+
+def test_golden_import(spark, tmp_path):
+    (tmp_path / "g.csv").write_text("url,label\nhttp://a.edu/x,exemplary\nhttp://b.com/y,garbage\nhttp://c.com/z,9\n")
+    old = spark.createDataFrame([("http://b.com/y", "3", "default", "", {"writing_quality": 0.5}, 1, "b.com"), ("http://k.com", "5", "default", "", {}, 1, "k.com")], "url string, label string, content_type string, notes string, raw_metrics map<string,double>, version int, domain string")
+    text = "A study of methods and data shows significant analysis of the hypothesis. " * 30
+    made = sinks.golden_import(old, str(tmp_path / "g.csv"), fetch=lambda u: f"<html><body><p>{text}</p></body></html>" if "a.edu" in u else None)
+    got = {r["url"]: r for r in made.collect()}
+    assert set(got) == {"http://a.edu/x", "http://b.com/y", "http://k.com"}
+    assert got["http://a.edu/x"]["raw_metrics"]["source_reputation"] == 0.9 and got["http://a.edu/x"]["label"] == "5"
+    assert got["http://b.com/y"]["label"] == "1" and set(got["http://b.com/y"]["raw_metrics"].values()) == {0.0}
+
+
 def test_inserts_and_updates(spark):
     old = spark.createDataFrame([(1, "u1", "a"), (2, "u2", "b")], "id int, url string, v string")
     new = spark.createDataFrame([(2, "u9", "x"), (3, "u3", "y"), (3, "u3", "y"), (4, "u1", "z")], "id int, url string, v string")
@@ -128,7 +253,9 @@ def test_stream_equals_batch(spark, tmp_path):
     pages = spark.createDataFrame(rows, "url string, text string")
     pages.repartition(3).write.parquet(f"{tmp_path}/in")
     stream = ingest.documents(ingest.files(spark, f"{tmp_path}/in", pages.schema, files_per_trigger=1))
-    ingest.run(stream, f"{tmp_path}/out", f"{tmp_path}/ck")
+    told = []
+    assert ingest.run(stream, f"{tmp_path}/out", f"{tmp_path}/ck", interval=0, report=told.append) == {"batches": 3, "rows": 5}
+    assert told[-1]["rows"] == 5 and told[0]["rows_per_second"] >= 0
     got = sorted(r["canonical_url"] for r in spark.read.parquet(f"{tmp_path}/out").collect())
     assert got == sorted(r["canonical_url"] for r in ingest.documents(pages).collect()) == ["https://a.com/x", "https://c.com/z"]
 

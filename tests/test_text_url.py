@@ -118,3 +118,19 @@ def test_html(spark):
     r = H.extracted(spark.createDataFrame([(page,)], "html string")).first()
     assert (r["title"], r["author"]) == ("T & U", "Ann")
     assert r["text"] == ("word " * 30).strip()
+
+
+def test_summary(spark):
+    long = "The report covers a river and its banks. " * 8
+    d = spark.createDataFrame([(1, long), (2, "short"), (3, None), (4, " " * 300)], "id int, t string")
+    plain = {r["id"]: r["s"] for r in d.select("id", T.summary(F.col("t"), 10).alias("s")).collect()}
+    assert plain[1].endswith("...") and plain[2] is plain[3] is plain[4] is None
+
+    def backend(texts, words):
+        if any("fail" in t for t in texts):
+            raise RuntimeError
+        return ["Summary: about a river" for _ in texts]
+
+    assert {r["id"]: r["s"] for r in d.select("id", T.summary(F.col("t"), 10, backend).alias("s")).collect()} == {1: "about a river", 2: None, 3: None, 4: None}
+    f = spark.createDataFrame([(1, "fail " + long)], "id int, t string")
+    assert f.select(T.summary(F.col("t"), 10, backend).alias("s")).first()[0] == f.select(T.excerpt(F.substring("t", 1, 2000), 10).alias("s")).first()[0]
