@@ -238,7 +238,7 @@ def test_inserts_and_updates(spark):
 def test_mapping_manifest(spark, tmp_path):
     rows = spark.createDataFrame([(1, -1), (2, 3)], "doc_id int, cluster_id int")
     folder = f"file://{tmp_path}/m"
-    assert sinks.write_mapping(rows, folder, "one") == {"id": "one", "n_docs": 2, "n_clusters": 1, "n_orphans": 1}
+    assert sinks.write_mapping(rows, folder, "one").items() >= {"id": "one", "n_docs": 2, "n_clusters": 1, "n_orphans": 1}.items()
     sinks.write_mapping(rows.limit(1), folder, "two")
     assert readers.mapping(spark, folder).count() == 1 and readers.mapping(spark, folder, "one").count() == 2
     assert {e["name"] for e in sinks.exports(spark, folder)} >= {"one", "two", "manifest.json"}
