@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import scoring as S
 from sparkloom.functions import text as T
+from sparkloom.plans import dialect
 from sparkloom.plans.frames import LINEAR_SQL, METRICS, METRICS_SQL, metrics, table
 from sparkloom.plans.registry import query
 
@@ -77,12 +78,16 @@ def acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decided.groupBy("decision").agg(F.count("*").alias("n_docs"))
 
 
-@query(METRICS_SQL + "SELECT doc_id, writing_quality > 5e-1 AS good_writing, len(string_split(concat_ws(',', writing_quality, content_depth), ',')) AS n_metrics FROM m")
+_THOUSANDTHS = " || ',' || ".join(f"""'"{k}":' || floor((round({k}, 9) + 1e-7) * 1e3)::BIGINT::VARCHAR""" for k in METRICS)
+
+
+@query(METRICS_SQL + f", j AS (SELECT doc_id, '{{' || {_THOUSANDTHS} || '}}' AS metrics_json FROM m) SELECT doc_id, metrics_json, (metrics_json::JSON->>'writing_quality')::BIGINT AS writing, len(json_keys(metrics_json::JSON)) AS n_metrics FROM j")
 def metrics_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metric maps through JSON and back."""
-    as_json = F.to_json(F.create_map(F.lit("writing_quality"), "writing_quality", F.lit("content_depth"), "content_depth"))
-    back = F.from_json("j", "map<string,double>")
-    return metrics(spark, sf_dir).withColumn("j", as_json).withColumn("m", back).select("doc_id", (F.col("m")["writing_quality"] > 0.5).alias("good_writing"), F.size("m").cast("long").alias("n_metrics"))
+    """Metrics in thousandths as JSON text, and read back."""
+    pairs = [x for k in METRICS for x in (F.lit(k), F.floor((F.round(k, 9) + 1e-7) * 1000).cast("long"))]
+    rows = metrics(spark, sf_dir).withColumn("metrics_json", F.to_json(F.create_map(*pairs)))
+    back = rows.withColumn("m", F.from_json("metrics_json", "map<string,bigint>"))
+    return back.select("doc_id", "metrics_json", F.col("m")["writing_quality"].alias("writing"), F.size("m").cast("long").alias("n_metrics"))
 
 
 @query(r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS t, len(list_filter(string_split_regex(text, '[.!?]+'), lambda x: length(trim(x, ' ')) > 0)) AS s FROM documents)
@@ -111,14 +116,14 @@ def display_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(T.display_text(F.col("text"))).alias("shown_md5"))
 
 
-@query()
+@query(dialect.clean_sql())
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nine cleaning steps; patterns without a twin in the oracle's dialect."""
+    """Nine cleaning steps."""
     docs = table(spark, sf_dir, "documents").withColumn("clean", T.clean_text(T.content_text(F.col("text"))))
     return docs.select("doc_id", F.length("clean").cast("long").alias("n_chars_clean"), F.md5("clean").alias("clean_md5"))
 
 
-@query()
+@query(dialect.summary_sql())
 def summary_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", T.clean_summary(F.substring("text", 1, 2000)).alias("summary"))
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions import scoring as S
 from sparkloom.functions import url as U
 from sparkloom.operators import dedup as D
+from sparkloom.plans import dialect
 from sparkloom.plans.frames import table
 from sparkloom.plans.registry import query
 from sparkloom.store import new_folder
@@ -114,7 +115,7 @@ def importance_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("vec_id", F.round(S.importance(F.col("source"), (F.col("vec_id") % 100) / 100), 9).alias("importance"))
 
 
-@query()
+@query(dialect.html_sql())
 def html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Title, description, site name and rule-based main text of each page."""
     from sparkloom.functions import html
