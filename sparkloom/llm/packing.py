@@ -7,8 +7,9 @@ tokens, whatever the corpus holds. The driver packs these counts with vector
 best-fit decreasing, treating equal bins as one class with a multiplicity. Each
 piece then finds its place from its rank among the pieces of its length. Ranks
 come from a window over (length, salt) with the salts' counts added up, so a
-length that a third of the corpus has is dealt to many tasks. Only the plan is
-broadcast; the salts' counts are joined on the keys that the window deals by.
+length that a third of the corpus has is dealt to many tasks. The plan and the
+salts' first ranks are broadcast, the latter as a table of lengths by salts whose
+size is fixed: 0.5 MB for 64 salts, 34 MB for the most there can be.
 
 ``packed`` limits the documents of a sequence: to the first of 64, 128, ... that
 needs no more sequences than no limit does.
@@ -152,35 +153,43 @@ def tokenised_pieces(docs: DataFrame, text: str = "text", key: str = "doc_id", s
     return rows.mapInArrow(cut, "key bigint, piece int, start bigint, length bigint, ids binary").withColumnRenamed("key", key)
 
 
-def assign_sequences(pieces: DataFrame, capacities: Capacities | None = None, key: str = "doc_id", salts: int = 256) -> DataFrame:
+#: Pieces of one length that a task ranks, about, and the bounds of the salts that this asks for.
+RANKED, SALTS = 4_000_000, (64, 4096)
+
+
+def assign_sequences(pieces: DataFrame, capacities: Capacities | None = None, key: str = "doc_id", salts: int | None = None) -> DataFrame:
     """``pieces`` (``key``, piece, length and any others) with sequence_id and offset.
-    Without ``capacities`` those of 1024 tokens and an even limit on documents.
+    Without ``capacities`` those of 1024 tokens and an even limit on documents;
+    without ``salts`` as many as the number of pieces asks for.
 
-    ``pieces`` should be a written table, as it is read twice.
+    ``pieces`` should be a written table, as it is read more than once.
     """
     spark = pieces.sparkSession
+    salts = salts or min(max(SALTS[0], -(-pieces.count() // RANKED)), SALTS[1])
     ranked = pieces.withColumn("_salt", F.pmod(F.xxhash64(key, "piece"), F.lit(salts)).cast("int"))
-    counts = written(ranked.groupBy("length", "_salt").agg(F.count("*").alias("_n")), "counts")
-    # At most as many rows as there are lengths, whatever the corpus.
-    totals = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    # At most (lengths x salts) rows, whatever the corpus.
+    found = ranked.groupBy("length", "_salt").count().toArrow()
+    own, salt, n = (found[c].to_numpy() for c in ("length", "_salt", "count"))
+    cells = np.zeros((int(own.max(initial=0)) + 1, salts), dtype=np.int64)
+    cells[own, salt] = n
+    totals = {k: int(x) for k, x in enumerate(cells.sum(axis=1)) if x}
     capacities = capacities or Capacities().even(totals)
-    held = spark.sparkContext.broadcast(plan(totals, capacities))
-    earlier = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    begins = counts.select("length", "_salt", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_begin"))
+    held = spark.sparkContext.broadcast((plan(totals, capacities), cells.cumsum(axis=1) - cells))
     window = Window.partitionBy("length", "_salt").orderBy(F.col(key).asc_nulls_first(), "piece")
-    ranked = ranked.withColumn("_rank", F.row_number().over(window) - 1).join(begins, ["length", "_salt"])
-    ranked = ranked.withColumn("_rank", F.col("_begin") + F.col("_rank")).select(*pieces.columns, "_rank")
+    ranked = ranked.withColumn("_rank", F.row_number().over(window) - 1)
     names = pieces.columns
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.array(held.value, dtype=np.int64).reshape(-1, 6)
+        rows, begins = held.value
+        table = np.array(rows, dtype=np.int64).reshape(-1, 6)
         # Rows of one length follow each other in rank, so (length, rank) is ordered.
         table = table[np.lexsort((table[:, 1], table[:, 0]))]
         scale = np.int64(1) << 40
         keys = table[:, 0] * scale + table[:, 1]
         for batch in batches:
             length = batch.column("length").to_numpy(zero_copy_only=False)
-            rank = batch.column("_rank").to_numpy(zero_copy_only=False)
+            salt = batch.column("_salt").to_numpy(zero_copy_only=False)
+            rank = begins[length, salt] + batch.column("_rank").to_numpy(zero_copy_only=False)
             at = table[np.searchsorted(keys, length * scale + rank, side="right") - 1]
             bin_, slot = np.divmod(rank - at[:, 1], at[:, 4]) if len(at) else (rank, rank)
             out = [*(batch.column(x) for x in names), pa.array(at[:, 3] + bin_), pa.array(at[:, 5] + slot * length)]

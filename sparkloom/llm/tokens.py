@@ -59,7 +59,7 @@ class Encoder:
     as merge ranks, runs of unseen Latin words go through the rank-based encoder,
     which takes a third of the time and gives the same ids."""
 
-    def __init__(self, vocabulary: str = VOCABULARY, ranks: str | None = None, most: int = 500_000):
+    def __init__(self, vocabulary: str = VOCABULARY, ranks: str | None = None, most: int = 400_000):
         # A worker is one core's share; the library's threads would take others'.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
