@@ -404,32 +404,47 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, v: s + v)
 
 
+#: Random vectors that a bucket of cosine_pairs() holds, about, and bits of its sketches.
+CROWD, SKETCH = 1024, 128
+
+
 def planes_for(rows: int, threshold: float, miss: float = 1e-4) -> tuple[int, int]:
     """Bits a table and tables, so that a pair at the threshold is missed with
     probability ``miss`` at most and a bucket of random vectors stays small."""
-    bits = max(6, math.ceil(math.log2(max(rows, 2) / 16)))
+    bits = max(6, math.ceil(math.log2(max(rows, 2) / CROWD)))
     same = 1 - math.acos(min(1.0, threshold)) / math.pi
     return bits, max(1, math.ceil(math.log(miss) / math.log(1 - same**bits)))
 
 
 def cosine_pairs(vectors: DataFrame, threshold: float = 0.95, vector: str = "embedding", key: str = "vec_id", seed: int = 42, inclusive: bool = False) -> DataFrame:
-    """a < b and similarity of pairs above the threshold, from sign-of-projection
-    buckets; equal vectors go through their first row."""
-    nodes = vectors.where(F.col(vector).isNotNull()).groupBy(vector).agg(F.min(key).alias("id")).withColumn("u", unit(F.col(vector))).select("id", "u")
-    rows = nodes.count()
-    bits, tables = planes_for(rows, threshold)
+    """a < b and similarity of pairs above the threshold; equal vectors go through
+    their first row.
+
+    Vectors meet in buckets of signs of projections. In a bucket 128-bit sketches
+    of further signs are compared in blocks, and only pairs whose sketches differ
+    in no more bits than a pair at the threshold does (four standard deviations
+    over its mean, so 3e-5 are missed) are compared in full.
+    """
+    nodes = reused(vectors.where(F.col(vector).isNotNull() & F.col(key).isNotNull()).groupBy(vector).agg(F.min(key).cast("bigint").alias("id")).withColumn("u", unit(F.col(vector))).select("id", "u"))
+    bits, tables = planes_for(nodes.count(), threshold)
     held: dict[int, np.ndarray] = {}
 
-    @F.arrow_udf("array<bigint>")
-    def keys(values: pa.Array) -> pa.Array:
+    @F.arrow_udf("struct<keys:array<bigint>,sketch:binary>")
+    def signs(values: pa.Array) -> pa.Array:
         flat = values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1) if len(values) else np.zeros((0, 1))
         if flat.shape[1] not in held:
-            held[flat.shape[1]] = np.random.default_rng(seed).standard_normal((flat.shape[1], bits * tables))
-        signs = (flat @ held[flat.shape[1]] > 0).reshape(len(values), tables, bits)
-        return pa.array((signs @ (1 << np.arange(bits, dtype=np.int64))).tolist(), pa.list_(pa.int64()))
-
-    keyed = nodes.select("id", F.posexplode(keys("u")).alias("t", "k"))
-    near = keyed.join(keyed.withColumnRenamed("id", "id2"), ["t", "k"]).where("id < id2").select("id", "id2").distinct()
+            held[flat.shape[1]] = np.random.default_rng(seed).standard_normal((flat.shape[1], bits * tables + SKETCH))
+        found = flat @ held[flat.shape[1]] > 0
+        keys = found[:, : bits * tables].reshape(len(values), tables, bits) @ (1 << np.arange(bits, dtype=np.int64))
+        offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * tables)
+        sketch = np.packbits(found[:, bits * tables :], axis=1).tobytes()
+        fixed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(SKETCH // 8), len(values), [None, pa.py_buffer(sketch)])
+        return pa.StructArray.from_arrays([pa.ListArray.from_arrays(offsets, pa.array(keys.ravel())), fixed.cast(pa.binary())], ["keys", "sketch"])
+
+    share = math.acos(min(1.0, threshold)) / math.pi
+    apart = math.ceil(SKETCH * share + 4 * math.sqrt(SKETCH * share * (1 - share)))
+    signed = nodes.select("id", signs("u").alias("s")).select("id", F.lit(np.iinfo(np.int64).max).alias("bound"), "s.sketch", F.posexplode("s.keys").alias("t", "k"))
+    near = signed.repartition("t", "k").sortWithinPartitions("t", "k", "id").mapInArrow(_met(apart), "id2 bigint, id bigint").distinct()
     near = near.join(nodes, "id").join(nodes.select(F.col("id").alias("id2"), F.col("u").alias("u2")), "id2")
     near = near.select(F.col("id").alias("a"), F.col("id2").alias("b"), dot(F.col("u"), F.col("u2")).alias("similarity"))
     return near.where(F.col("similarity") >= threshold if inclusive else F.col("similarity") > threshold)

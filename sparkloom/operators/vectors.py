@@ -15,6 +15,8 @@ from sparkloom.functions import text as T
 
 #: Query vectors that are matched at once.
 BLOCK = 2048
+#: Rows that are held against them at once.
+PART = 1024
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -40,10 +42,8 @@ def knn(queries: DataFrame, vectors: DataFrame, k: int = 5, vector: str = "embed
         def near(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             ids, matrix = held.value
             best_d, best_i = np.full((len(ids), 0), np.inf), np.zeros((len(ids), 0), dtype=np.int64)
-            for batch in batches:
+            for batch in (b.slice(at, PART) for b in batches for at in range(0, len(b), PART)):
                 own, other = batch.column(0).to_numpy(), _matrix(batch.column(1))
-                if not len(own):
-                    continue
                 if euclidean:
                     d = np.sqrt(np.maximum((matrix**2).sum(1)[:, None] + (other**2).sum(1)[None, :] - 2 * matrix @ other.T, 0))
                 else:

@@ -171,6 +171,17 @@ def test_cosine_duplicates(spark):
     assert sorted(r[0] for r in dedup.cosine_duplicates(d, keep="last").collect()) == [3, 4, 101]
 
 
+def test_cosine_pairs_in_a_hot_bucket(spark):
+    """Hundreds of vectors around one direction, of which some are alike and some are not."""
+    rng = np.random.default_rng(7)
+    v = np.vstack([np.ones(12) + rng.normal(0, 0.35, (250, 12)), rng.standard_normal((50, 12))])
+    d = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id bigint, embedding array<double>")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    want = {(i, j) for i, j in itertools.combinations(range(300), 2) if u[i] @ u[j] > 0.95}
+    got = {(r["a"], r["b"]) for r in dedup.cosine_pairs(d).collect()}
+    assert got <= want and len(want) > 500 and len(want - got) <= 2
+
+
 def test_cosine_nearest_of_copies(spark):
     rng = np.random.default_rng(7)
     base = rng.standard_normal((12, 16)).astype(np.float32).astype(float)
