@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions import text as T
 from sparkloom.operators import dedup, monitor
+from sparkloom.store import reused
 
 SORTABLE = ("quality_score", "wilson_score", "importance_score", "content_length", "cluster_id", "id", "title", "domain", "created_at")
 DETAIL = ("id", "title", "summary", "domain", "content_type", "quality_score", "content_length", "cluster_id", "status")
@@ -62,13 +63,17 @@ def search_fulltext(docs: DataFrame, q: str, limit: int = 20, offset: int = 0, w
     if not words:
         raise ValueError("q is required")
     base = docs if where is None else docs.where(where)
-    hits = base.select("id", F.explode(F.array_intersect(F.array_distinct(T.tokens(F.concat_ws(" ", "title", "text"))), F.array(*map(F.lit, words)))).alias("word"))
-    n = base.agg(F.count("*").alias("n"))
-    rarity = hits.groupBy("word").agg(F.count("*").alias("df")).crossJoin(n)  # one row per query word
-    rarity = rarity.select("word", F.ln((F.col("n") + 1) / (F.col("df") + 1)).alias("idf"))
-    ranked = hits.join(F.broadcast(rarity), "word").groupBy("id").agg(F.count("*").alias("matched"), F.sum("idf").alias("rank"))
-    found = ranked.agg(F.count("*").alias("total_hits"))
-    return ranked.orderBy(F.desc("matched"), F.desc(F.round("rank", 9)), "id").offset(offset).limit(limit).crossJoin(found)
+    found = F.array_intersect(F.array_distinct(T.tokens(F.concat_ws(" ", "title", "text"))), F.array(*map(F.lit, words)))
+    # Texts are read once; what follows depends on each document's set of words only.
+    hits = reused(base.select("id", F.array_sort(found).alias("words")).where(F.size("words") > 0))
+    sets = hits.groupBy("words").agg(F.count("*").alias("n"))
+    each = sets.select("words", "n", F.explode("words").alias("word"))
+    rarity = each.groupBy("word").agg(F.sum("n").alias("df")).crossJoin(base.agg(F.count("*").alias("n_all")))  # one row per query word
+    rarity = rarity.select("word", F.ln((F.col("n_all") + 1) / (F.col("df") + 1)).alias("idf"))
+    ranks = each.join(F.broadcast(rarity), "word").groupBy("words").agg(F.count("*").alias("matched"), F.sum("idf").alias("rank"))
+    ranked = hits.join(ranks, "words").select("id", "matched", "rank")
+    total = sets.agg(F.sum("n").alias("total_hits"))
+    return ranked.orderBy(F.desc("matched"), F.desc(F.round("rank", 9)), "id").offset(offset).limit(limit).crossJoin(total)
 
 
 def unscored(docs: DataFrame, texts: DataFrame, limit: int | None = None) -> DataFrame:

@@ -23,6 +23,17 @@ class Clusterer(Protocol):
     def cluster(self, df: DataFrame) -> DataFrame: ...
 
 
+class AxisScorer(Protocol):
+    def axis(self, df: DataFrame) -> DataFrame: ...
+
+
+class ImportanceAxis:
+    """z: the importance of a row's domain, quality and content type."""
+
+    def axis(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("z", S.importance(F.col("domain"), F.col("quality_score"), F.col("content_type")))
+
+
 class PcaProjector:
     """x, y: the first two principal components, each with its largest weight
     positive. Fitted once; later calls project with the same components."""
@@ -42,14 +53,19 @@ class PcaProjector:
         return vectors.withColumns({"x": dots[0], "y": dots[1]}).drop("_v")
 
 
-def hdbscan(points: np.ndarray, min_size: int = 5) -> np.ndarray:
-    """Density clusters by excess of mass; -1 is noise. Sizes are capped at max(2, n // 10)."""
+def hdbscan(points: np.ndarray, min_size: int = 5, weights: np.ndarray | None = None) -> np.ndarray:
+    """Density clusters by excess of mass; -1 is noise. Sizes are capped at max(2, n // 10).
+    ``weights``: the rows that each point stands for, of which all sizes are sums."""
     n = len(points)
     if n < 2:
         return np.full(n, -1)
-    min_size = max(2, min(min_size, max(2, n // 10)))
+    weights = np.ones(n, dtype=np.int64) if weights is None else weights
+    rows = int(weights.sum())
+    min_size = max(2, min(min_size, max(2, rows // 10)))
     d = np.sqrt(np.maximum(((points[:, None, :] - points[None, :, :]) ** 2).sum(axis=2), 0))
-    core = np.sort(d, axis=1)[:, min(min_size, n) - 1]
+    order = np.argsort(d, axis=1)
+    enough = (np.cumsum(weights[order], axis=1) >= min(min_size, rows)).argmax(axis=1)
+    core = d[np.arange(n), order[np.arange(n), enough]]
     reach = np.maximum(d, np.maximum(core[:, None], core[None, :]))
     # Minimum spanning tree, a vertex at a time.
     inside, best, source = np.zeros(n, dtype=bool), np.full(n, np.inf), np.zeros(n, dtype=int)
@@ -62,7 +78,7 @@ def hdbscan(points: np.ndarray, min_size: int = 5) -> np.ndarray:
         tree.append((float(best[at]), int(source[at]), at))
     tree.sort()
     # Single-linkage merges: node n + i joins two nodes.
-    parent, label, size, kids, height = list(range(n)), list(range(n)), {i: 1 for i in range(n)}, {}, {}
+    parent, label, size, kids, height = list(range(n)), list(range(n)), dict(enumerate(weights.tolist())), {}, {}
 
     def root(i: int) -> int:
         while parent[i] != i:
@@ -95,7 +111,7 @@ def hdbscan(points: np.ndarray, min_size: int = 5) -> np.ndarray:
         while node >= n:
             rate = 1 / height[node] if height[node] > 0 else 1e12
             a, b = kids[node]
-            big = [x for x in (a, b) if size[x] >= min_size]
+            big = [x for x in (a, b) if x >= n and size[x] >= min_size]
             if len(big) == 2:
                 stability[cluster] += (rate - born[cluster]) * size[node]
                 for x in big:
@@ -128,56 +144,82 @@ def hdbscan(points: np.ndarray, min_size: int = 5) -> np.ndarray:
 
 
 class DensityClusterer:
-    """HDBSCAN on at most ``most`` rows, the first by a hash of their key; with no
-    more rows than that it is HDBSCAN of all. The other rows take the cluster of
-    their nearest sampled row, or none (-1) further from it than ``reach`` times
-    the median distance of that cluster's sampled rows to their nearest ones. Rows
-    without a place, null or NaN, are in no cluster."""
+    """HDBSCAN over all rows. Up to ``most`` rows are points of their own. Beyond
+    that rows share the cells of a quadtree, which is finest where rows are dense:
+    a cell is cut while it holds over a certain number of rows, so that there are at
+    most ``most`` cells, each a point with its rows' mean place and their number as
+    weight. No row is left out, and each gets its cell's cluster. Rows without a
+    place, null or not finite, are in no cluster (-1)."""
 
-    def __init__(self, min_size: int = 5, most: int = 3000, key: str = "vec_id", reach: float = 3.0):
-        self.min_size, self.most, self.key, self.reach = min_size, most, key, reach
+    LEVELS = 16
+
+    def __init__(self, min_size: int = 5, most: int = 3000, key: str = "vec_id"):
+        self.min_size, self.most, self.key = min_size, most, key
 
     def cluster(self, df: DataFrame) -> DataFrame:
-        placed = F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y")
-        sample = df.where(placed).select(self.key, "x", "y").orderBy(F.xxhash64(self.key), self.key).limit(self.most).toPandas().sort_values(self.key)
-        points = sample[["x", "y"]].to_numpy()
-        labels = hdbscan(points, self.min_size)
-        limits = self.limits(points, labels)
-        held = df.sparkSession.sparkContext.broadcast((points, labels, limits))
+        finite = lambda c: F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
+        placed = df.where(finite("x") & finite("y")).select(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+        box = placed.agg(F.count("*").alias("n"), F.min("x").alias("x"), F.min("y").alias("y"), F.max("x").alias("x2"), F.max("y").alias("y2")).first()
+        if box["n"] == 0:
+            return df.withColumn("cluster_id", F.lit(-1))
+        low, side = (box["x"], box["y"]), max(box["x2"] - box["x"], box["y2"] - box["y"]) or 1.0
+        share = 1 if box["n"] <= self.most else -(-8 * box["n"] // self.most)
+        while True:
+            heavy = self.heavy(placed, low, side, share) if box["n"] > self.most else None
+            cell = self.cell(low, side, heavy, df.sparkSession)
+            cells = placed.groupBy(cell("x", "y").alias("c")).agg(F.count("*").alias("n"), F.avg("x").alias("x"), F.avg("y").alias("y"))
+            found = cells.orderBy("c").limit(self.most + 1).toArrow()
+            if len(found) <= self.most:
+                break
+            share *= 2
+        points = np.column_stack([found["x"].to_numpy(), found["y"].to_numpy()])
+        labels = hdbscan(points, self.min_size, found["n"].to_numpy())
+        held = df.sparkSession.sparkContext.broadcast(dict(zip(found["c"].to_pylist(), labels.tolist(), strict=True)))  # at most ``most``
 
         @F.pandas_udf("int")
-        def assign(x, y):
+        def named(c):
+            known = held.value
+            return c.map(lambda x: known.get(x, -1)).fillna(-1).astype("int32")
+
+        return df.withColumn("cluster_id", F.coalesce(named(F.when(finite("x") & finite("y"), cell("x", "y"))), F.lit(-1)))
+
+    def heavy(self, placed: DataFrame, low: tuple[float, float], side: float, share: int) -> dict[int, np.ndarray]:
+        """The cells of each level with over ``share`` rows: at most rows / share a level."""
+        levels = F.explode(F.sequence(F.lit(0), F.lit(self.LEVELS)))
+        at = lambda c, k: F.floor((F.col(c) - F.lit(low[k])) / F.lit(side) * F.pow(F.lit(2.0), "level")).cast("bigint")
+        keyed = placed.withColumn("level", levels).select("level", (at("x", 0) * (1 << 20) + at("y", 1)).alias("c"))
+        rows = keyed.groupBy("level", "c").agg(F.count("*").alias("n")).where(F.col("n") > share).toArrow()
+        level, c = rows["level"].to_numpy(), rows["c"].to_numpy()
+        return {k: np.sort(c[level == k]) for k in range(self.LEVELS + 1)}
+
+    def cell(self, low: tuple[float, float], side: float, heavy: dict[int, np.ndarray] | None, spark) -> Callable:
+        """The cell of a place, as text: its level and number, or the place itself."""
+        if heavy is None:
+            return lambda x, y: F.concat_ws("/", F.col(x).cast("double").cast("string"), F.col(y).cast("double").cast("string"))
+        held = spark.sparkContext.broadcast(heavy)
+
+        @F.pandas_udf("string")
+        def leaf(x, y):
             import pandas as pd
 
-            known, own, far = held.value
-            out = np.full(len(x), -1, dtype="int32")
-            at = np.flatnonzero(np.isfinite(x.to_numpy(dtype=float)) & np.isfinite(y.to_numpy(dtype=float))) if len(known) else np.zeros(0, dtype=int)
-            for start in range(0, len(at), 2048):
-                some = at[start : start + 2048]
-                p = np.column_stack([x.to_numpy()[some], y.to_numpy()[some]])
-                d = ((p[:, None, :] - known[None, :, :]) ** 2).sum(axis=2)
-                near = d.argmin(axis=1)
-                out[some] = np.where(np.sqrt(d[np.arange(len(some)), near]) <= far[near], own[near], -1)
+            known = held.value
+            a, b = ((v.to_numpy(dtype=float) - o) / side for v, o in ((x, low[0]), (y, low[1])))
+            out, left = np.full(len(x), None, dtype=object), np.flatnonzero(np.isfinite(a) & np.isfinite(b))
+            for level in range(max(known) + 1):
+                c = np.floor(a[left] * 2.0**level).astype(np.int64) * (1 << 20) + np.floor(b[left] * 2.0**level).astype(np.int64)
+                inside = np.isin(c, known[level]) if level < max(known) else np.zeros(len(c), dtype=bool)
+                out[left[~inside]] = [f"{level}:{k}" for k in c[~inside].tolist()]
+                left = left[inside]
             return pd.Series(out)
 
-        return df.withColumn("cluster_id", assign("x", "y"))
-
-    def limits(self, points: np.ndarray, labels: np.ndarray) -> np.ndarray:
-        """How far each sampled point's cluster reaches from it."""
-        out = np.zeros(len(points))
-        for c in set(labels.tolist()) - {-1}:
-            at = np.flatnonzero(labels == c)
-            d = ((points[at][:, None, :] - points[at][None, :, :]) ** 2).sum(axis=2)
-            np.fill_diagonal(d, np.inf)
-            out[at] = self.reach * float(np.median(np.sqrt(d.min(axis=1))))
-        return out
+        return leaf
 
 
-COMPONENTS: dict[str, dict[str, Callable]] = {"projector": {"pca": PcaProjector}, "clusterer": {"density": DensityClusterer}}
+COMPONENTS: dict[str, dict[str, Callable]] = {"projector": {"pca": PcaProjector}, "clusterer": {"density": DensityClusterer}, "axis": {"importance": ImportanceAxis}}
 
 
 def component(kind: str, name: str, **settings):
-    """A registered projector or clusterer; an unknown name raises TypeError."""
+    """A registered projector, clusterer or axis; an unknown name raises TypeError."""
     if name not in COMPONENTS.get(kind, {}):
         raise TypeError(f"no {kind} {name!r}")
     return COMPONENTS[kind][name](**settings)
@@ -189,12 +231,11 @@ def register(kind: str, name: str, factory: Callable) -> None:
     COMPONENTS[kind][name] = factory
 
 
-def mapped(vectors: DataFrame, docs: DataFrame, projector: Projector | None = None, clusterer: Clusterer | None = None, key: str = "vec_id") -> DataFrame:
+def mapped(vectors: DataFrame, docs: DataFrame, projector: Projector | None = None, clusterer: Clusterer | None = None, key: str = "vec_id", axis: AxisScorer | None = None) -> DataFrame:
     """x, y, cluster_id and importance of each vector; a vector without a document raises."""
     placed = (clusterer or DensityClusterer(key=key)).cluster((projector or PcaProjector()).project(vectors))
     joined = placed.join(docs.select(F.col("id").alias(key), "domain", "quality_score", "content_type"), key, "left")
-    z = S.importance(F.col("domain"), F.col("quality_score"), F.col("content_type"))
-    return joined.select(key, "x", "y", z.alias("z"), "cluster_id", "quality_score", "domain", "content_type")
+    return (axis or ImportanceAxis()).axis(joined).select(key, "x", "y", "z", "cluster_id", "quality_score", "domain", "content_type")
 
 
 def quality_clusters(vectors: DataFrame, docs: DataFrame, projector: Projector | None = None, clusterer: Clusterer | None = None, key: str = "vec_id") -> DataFrame:

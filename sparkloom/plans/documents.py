@@ -156,3 +156,13 @@ def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkloom.streaming.ingest import windowed_events
 
     return windowed_events(table(spark, sf_dir, "events")).withColumn("total", F.round("total", 4))
+
+
+@query("""WITH a AS (SELECT event_id, ts, greatest(floor(value * 100), 0)::BIGINT AS s FROM events)
+SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS iso, strftime(ts, '%Y/%m/%d') AS folder,
+  CASE WHEN s // 3600 < 10 THEN '0' ELSE '' END || (s // 3600) || ':' || lpad((s // 60 % 60)::VARCHAR, 2, '0') || ':' || lpad((s % 60)::VARCHAR, 2, '0') AS duration FROM a""")
+def event_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ISO text, day folder and a duration of each event; its value stands for hundredths of seconds."""
+    from sparkloom.functions import dates as W
+
+    return table(spark, sf_dir, "events").select("event_id", W.iso(F.col("ts")).alias("iso"), W.day_folder(F.col("ts")).alias("folder"), W.duration(F.floor(F.col("value") * 100)).alias("duration"))

@@ -176,3 +176,10 @@ def exports(spark: SparkSession, folder: str) -> list[dict]:
     if not fs.exists(p):
         return []
     return sorted(({"name": s.getPath().getName(), "bytes": fs.getContentSummary(s.getPath()).getLength(), "modified": datetime.fromtimestamp(s.getModificationTime() / 1000, UTC).isoformat(timespec="milliseconds")} for s in fs.listStatus(p)), key=lambda x: x["name"])
+
+
+def storage(spark: SparkSession, *folders: str) -> dict:
+    """Files and bytes below folders, and their entries by name; missing ones count as empty."""
+    by = {f: exports(spark, f) for f in folders}
+    files = sum(_fs(spark, f)[0].getContentSummary(_fs(spark, f)[1]).getFileCount() for f in folders if exists(spark, f))
+    return {"files": files, "bytes": sum(e["bytes"] for es in by.values() for e in es), "entries": by}

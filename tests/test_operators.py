@@ -297,17 +297,36 @@ def test_hypergraph_parts(spark):
         graph.hypergraph(d.where("doc_id = 1"), dates, dense).collect()
 
 
-def test_clusters_reach_only_so_far(spark):
+def test_all_rows_are_clustered(spark):
     rng = np.random.default_rng(1)
-    blobs = np.concatenate([rng.normal(c, 0.1, (60, 2)) for c in ((0, 0), (5, 5))])
-    rows = [(i, float(x), float(y)) for i, (x, y) in enumerate(blobs)] + [(900, 100.0, 100.0), (901, None, None), (902, float("nan"), 0.0), (903, 0.0, None)]
-    df = spark.createDataFrame(rows, "vec_id bigint, x double, y double")
-    got = {r["vec_id"]: r["cluster_id"] for r in mapping.DensityClusterer(most=80).cluster(df).collect()}
-    assert [got[i] for i in (900, 901, 902, 903)] == [-1] * 4
-    groups = [{got[i] for i in range(a, a + 60)} - {-1} for a in (0, 60)]
-    assert all(len(g) == 1 for g in groups) and groups[0] != groups[1]
-    assert sum(got[i] == -1 for i in range(120)) < 30
-    assert {r["cluster_id"] for r in mapping.DensityClusterer().cluster(df.limit(0)).collect()} == set()
+    sizes = (400, 300, 60, 40)
+    blobs = np.concatenate([rng.normal(c, 0.2, (n, 2)) for c, n in zip(((0, 0), (5, 5), (0, 6), (6, 0)), sizes, strict=True)])
+    rows = [(i, float(x), float(y)) for i, (x, y) in enumerate(blobs)] + [(901, None, None), (902, float("nan"), 0.0), (903, 0.0, None), (904, float("inf"), 0.0)]
+    df = spark.createDataFrame(rows, "vec_id bigint, x double, y double").repartition(3)
+    whole = mapping.hdbscan(blobs)
+    for most in (3000, 250):
+        got = {r["vec_id"]: r["cluster_id"] for r in mapping.DensityClusterer(most=most).cluster(df).collect()}
+        assert len(got) == len(rows) and [got[i] for i in (901, 902, 903, 904)] == [-1] * 4
+        if most == 3000:
+            pairs = {(a, got[i]) for i, a in enumerate(whole.tolist())}
+            assert len(pairs) == len(set(whole.tolist()))  # the same up to names
+        at = 0
+        for n in sizes:
+            inside = [got[i] for i in range(at, at + n)]
+            # The small groups are there at any size.
+            assert len([c for c in inside if c != -1]) > 0.7 * n
+            at += n
+    assert mapping.DensityClusterer().cluster(df.limit(0)).count() == 0
+    assert {r["cluster_id"] for r in mapping.DensityClusterer().cluster(df.where("x is null")).collect()} == {-1}
+
+
+def test_weights_are_rows():
+    rng = np.random.default_rng(3)
+    p = np.concatenate([rng.normal(c, 0.3, (40, 2)) for c in ((0, 0), (4, 4))])
+    w = np.full(len(p), 3)
+    assert mapping.hdbscan(p, 5, np.ones(len(p), dtype=int)).tolist() == mapping.hdbscan(p, 5).tolist()
+    labels = mapping.hdbscan(p, 12, w)
+    assert len(set(labels.tolist()) - {-1}) == 2
 
 
 def test_protocols(spark):

@@ -241,6 +241,8 @@ def test_mapping_manifest(spark, tmp_path):
     assert sinks.write_mapping(rows, folder, "one").items() >= {"id": "one", "n_docs": 2, "n_clusters": 1, "n_orphans": 1}.items()
     sinks.write_mapping(rows.limit(1), folder, "two")
     assert readers.mapping(spark, folder).count() == 1 and readers.mapping(spark, folder, "one").count() == 2
+    found = sinks.storage(spark, folder, f"{folder}/none")
+    assert found["bytes"] == sum(e["bytes"] for e in sinks.exports(spark, folder)) > 0 and found["files"] >= 3 and found["entries"][f"{folder}/none"] == []
     assert {e["name"] for e in sinks.exports(spark, folder)} >= {"one", "two", "manifest.json"}
     texts = rows.withColumn("created_at", F.to_timestamp(F.lit("2024-05-06 01:02:03")))
     sinks.write_archive(texts, f"{folder}/archive")
