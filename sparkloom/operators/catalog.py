@@ -10,7 +10,21 @@ from sparkloom.operators import dedup, monitor
 from sparkloom.store import reused
 
 SORTABLE = ("quality_score", "wilson_score", "importance_score", "content_length", "cluster_id", "id", "title", "domain", "created_at")
-DETAIL = ("id", "title", "summary", "domain", "content_type", "quality_score", "content_length", "cluster_id", "status")
+#: Columns of each fixed view of a document: its page, a row of a list, an export, what the map needs, its score.
+VIEWS = {
+    "detail": ("id", "url", "title", "summary", "domain", "content_type", "quality_score", "wilson_score", "importance_score", "cluster_id", "created_at"),
+    "list": ("id", "url", "title", "domain", "content_type", "quality_score", "wilson_score", "importance_score", "cluster_id", "created_at"),
+    "export": ("url", "title", "summary", "domain", "content_type"),
+    "map": ("domain", "quality_score", "content_type"),
+    "score": ("quality_score",),
+}
+
+
+def view(docs: DataFrame, kind: str = "detail") -> DataFrame:
+    """A fixed view of documents; columns that ``docs`` lacks are null. The list
+    holds active documents only."""
+    rows = docs.where("status = 'active'") if kind == "list" else docs
+    return rows.select(*(F.col(c) if c in docs.columns else F.lit(None).cast("string").alias(c) for c in VIEWS[kind]))
 
 
 def filtered(docs: DataFrame, content_type: str | None = None, min_quality: float | None = None, cluster_id: int | None = None) -> DataFrame:

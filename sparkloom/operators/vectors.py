@@ -4,7 +4,7 @@ and a deterministic hashing embedder."""
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -124,8 +124,9 @@ def fps_euclidean(vectors: np.ndarray, quality: np.ndarray, k: int, alpha: float
     return chosen
 
 
-def fps_sample(df: DataFrame, k: int, vector: str = "embedding", key: str = "vec_id", quality: str = "quality", alpha: float = 1.0, shard_rows: int = 1024, min_quality: float = 0.0) -> DataFrame:
-    """``key``, rank and novelty of a quality-weighted farthest-point sample: that of fps_cosine over all rows.
+def fps_sample(df: DataFrame, k: int, vector: str = "embedding", key: str = "vec_id", quality: str = "quality", alpha: float = 1.0, shard_rows: int = 1024, min_quality: float = 0.0, euclidean: bool = False) -> DataFrame:
+    """``key``, rank and novelty of a quality-weighted farthest-point sample: that of fps_cosine over all rows, or
+    of fps_euclidean, by distance^alpha x quality and with k from 1 to the number of rows.
 
     A round takes the ``shard_rows`` rows of largest distance x quality^alpha to
     the points so far. Scores only shrink, so points are chosen among these while
@@ -135,10 +136,25 @@ def fps_sample(df: DataFrame, k: int, vector: str = "embedding", key: str = "vec
     rows = df.where(F.col(vector).isNotNull()).select(F.col(key).alias("id"), F.transform(F.col(vector), lambda x: x.cast("double")).alias("v"), F.col(quality).cast("double").alias("q"))
     rows = rows.where((F.col("q") >= min_quality) & ~F.isnan("q"))
     schema = f"{key} {kind}, rank bigint, novelty double"
-    least = rows.select("id").limit(k + 1).count() if k > 0 else 0
-    if least <= k:
+    least = rows.select("id").limit(max(k, 0) + 1).count()
+    if euclidean and not 1 <= k <= least:
+        raise ValueError(f"k must be between 1 and {least}")
+    if least <= k and not euclidean:
         return spark.createDataFrame([(r["id"], i, 1.0) for i, r in enumerate(rows.select("id").orderBy("id").limit(k).collect())] if k > 0 else [], schema)
-    unit = lambda m: m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-10)
+    unit = lambda m: m if euclidean else m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-10)
+
+    def apart(own: np.ndarray, points: np.ndarray) -> np.ndarray:
+        """The distance of each row to the nearest point."""
+        if not euclidean:
+            return 1 - (own @ points.T).max(axis=1)
+        out = np.full(len(own), np.inf)
+        for p in points:
+            out = np.minimum(out, np.linalg.norm(own - p, axis=1))
+        return out
+
+    def worth(d: np.ndarray, q: np.ndarray) -> np.ndarray:
+        return d**alpha * q if euclidean else d * np.maximum(q, 0.01) ** alpha
+
     start = rows.orderBy(F.desc("q"), "id").first()
     chosen, points = [(start["id"], 0, 1.0)], [unit(np.array([start["v"]]))[0]]
     while len(chosen) < k:
@@ -148,8 +164,8 @@ def fps_sample(df: DataFrame, k: int, vector: str = "embedding", key: str = "vec
             for batch in batches:
                 if not len(batch):
                     continue
-                d = 1 - (unit(_matrix(batch.column("v"))) @ held.value.T).max(axis=1)
-                score = d * np.maximum(batch.column("q").to_numpy(), 0.01) ** alpha
+                d = apart(unit(_matrix(batch.column("v"))), held.value)
+                score = worth(d, batch.column("q").to_numpy())
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(d), pa.array(score)], [*batch.schema.names, "d", "score"])
 
         scored = rows.mapInArrow(far, f"id {kind}, v array<double>, q double, d double, score double")
@@ -160,19 +176,20 @@ def fps_sample(df: DataFrame, k: int, vector: str = "embedding", key: str = "vec
         # The last of a full list bounds all that are not in it.
         bound = (-best[-1]["score"], best[-1]["id"]) if len(best) > shard_rows else None
         ids, d, own = [r["id"] for r in best], np.array([r["d"] for r in best]), unit(np.array([r["v"] for r in best]))
-        weight = np.maximum(np.array([r["q"] for r in best]), 0.01) ** alpha
+        q = np.array([r["q"] for r in best])
         left = np.ones(len(best), dtype=bool)
         while len(chosen) < k:
             open_ = np.flatnonzero(left & (d >= 0))
             if not len(open_):
                 break
-            at = min(open_.tolist(), key=lambda i: (-d[i] * weight[i], ids[i]))
-            if bound is not None and (-d[at] * weight[at], ids[at]) > bound:
+            score = worth(d, q)
+            at = min(open_.tolist(), key=lambda i: (-score[i], ids[i]))
+            if bound is not None and (-score[at], ids[at]) > bound:
                 break
             chosen.append((ids[at], len(chosen), float(d[at])))
             points.append(own[at])
             left[at] = False
-            d = np.minimum(d, 1 - own @ own[at])
+            d = np.minimum(d, apart(own, own[at][None]))
         if bound is None:
             break
     return spark.createDataFrame(chosen, schema)
@@ -210,6 +227,39 @@ def reservoir(rows: list[tuple], size: int, ratio: float, alpha: float = 1.0) ->
 # -- embedding ----------------------------------------------------------------
 
 
+def mean_pool(hidden: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """The mean of (rows, tokens, size) states over the tokens of a (rows, tokens) mask; zeros where it is empty."""
+    weights = mask.astype(np.float64)[:, :, None]
+    return (hidden * weights).sum(axis=1) / np.maximum(weights.sum(axis=1), 1e-9)
+
+
+def embedded(text: Column, encode: Callable[[list[str]], np.ndarray], batch: int = 64) -> Column:
+    """The vectors that ``encode`` gives for batches of texts, scaled to length one.
+    A batch that does not fit in memory is halved, down to one text; null gives null."""
+
+    def encoded(texts: list[str]) -> list[np.ndarray]:
+        try:
+            return list(np.asarray(encode(texts), dtype=np.float64))
+        except MemoryError:
+            if len(texts) == 1:
+                raise
+            half = len(texts) // 2
+            return encoded(texts[:half]) + encoded(texts[half:])
+
+    @F.arrow_udf("array<float>")
+    def made(texts: pa.Array) -> pa.Array:
+        rows = texts.to_pylist()
+        out: list[list[float] | None] = [None] * len(rows)
+        at = [i for i, x in enumerate(rows) if x is not None]
+        for start in range(0, len(at), batch):
+            part = at[start : start + batch]
+            for i, v in zip(part, encoded([rows[i] for i in part]), strict=True):
+                out[i] = (v / max(float(np.linalg.norm(v)), 1e-10)).tolist()
+        return pa.array(out, pa.list_(pa.float32()))
+
+    return made(text)
+
+
 def hashed_embedding(text: Column, size: int = 64) -> Column:
     """A deterministic embedding: word counts added up by hash and scaled to length one."""
     words = T.tokens(F.coalesce(text, F.lit("")))

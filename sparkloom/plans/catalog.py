@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkloom.functions import scoring as S
 from sparkloom.operators import catalog as C
 from sparkloom.operators import monitor as M
-from sparkloom.plans.frames import DOCS_SQL, METRICS, METRICS_SQL, PLAIN_SQL, docs_view, metrics, table
+from sparkloom.plans.frames import DOCS_SQL, LINEAR_SQL, METRICS, METRICS_SQL, PLAIN_SQL, docs_view, metrics, table
 from sparkloom.plans.registry import query
 
 
@@ -23,9 +23,27 @@ def docs_by_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars").join(wanted, "doc_id", "left_semi")
 
 
-@query(PLAIN_SQL + "SELECT id, title, domain, content_type, content_length, cluster_id, status FROM d")
+_VIEW_SQL = (
+    METRICS_SQL
+    + f""", z AS (SELECT m.doc_id AS id, p.url, substring(o.text, 1, 60) AS title, m.source AS domain, m.lang AS content_type, round({LINEAR_SQL}, 9) AS quality_score, e.label AS cluster_id
+  FROM m JOIN documents o ON o.doc_id = m.doc_id LEFT JOIN pages p ON p.page_id = m.doc_id LEFT JOIN embeddings e ON e.vec_id = m.doc_id) """
+)
+
+
+def _viewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog's documents with the pages' URLs."""
+    urls = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url")
+    return docs_view(spark, sf_dir).join(urls, "id", "left")
+
+
+@query(_VIEW_SQL + "SELECT id, url, title, NULL::VARCHAR AS summary, domain, content_type, quality_score, NULL::VARCHAR AS wilson_score, NULL::VARCHAR AS importance_score, cluster_id, NULL::VARCHAR AS created_at FROM z")
 def doc_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return docs_view(spark, sf_dir, scored=False).select("id", "title", "domain", "content_type", "content_length", "cluster_id", "status")
+    return C.view(_viewed(spark, sf_dir))
+
+
+@query(_VIEW_SQL + "SELECT url, title, NULL::VARCHAR AS summary, domain, content_type FROM z")
+def doc_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.view(_viewed(spark, sf_dir), "export")
 
 
 @query(DOCS_SQL + "SELECT id, domain, quality_score FROM d WHERE status = 'active' AND content_type = 'en' AND quality_score >= 3e-1 ORDER BY quality_score DESC NULLS LAST, id LIMIT 50")

@@ -102,22 +102,22 @@ def fps_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return V.fps_sample(_quality(spark, sf_dir), 25).withColumn("novelty", F.round("novelty", 6))
 
 
-@query(_V + """, p AS (SELECT vec_id, v, (vec_id * 37 % 101) / 101e0 AS q FROM v), a AS (SELECT * FROM p ORDER BY q DESC, vec_id LIMIT 1),
-b AS (SELECT p.* FROM p, a WHERE p.vec_id <> a.vec_id ORDER BY list_distance(p.v, a.v) * p.q DESC, p.vec_id LIMIT 1),
-c AS (SELECT p.* FROM p, a, b WHERE p.vec_id NOT IN (a.vec_id, b.vec_id) ORDER BY least(list_distance(p.v, a.v), list_distance(p.v, b.v)) * p.q DESC, p.vec_id LIMIT 1)
-SELECT 0 AS rank, vec_id FROM a UNION ALL SELECT 1, vec_id FROM b UNION ALL SELECT 2, vec_id FROM c""")
+def _farthest_sql(k: int) -> str:
+    """The sample of fps_tensor, a step at a time."""
+    steps = [
+        _V + ", s0 AS MATERIALIZED (SELECT vec_id, v, (vec_id * 37 % 101) / 101e0 AS q, NULL::DOUBLE AS d FROM v)",
+        "p0 AS MATERIALIZED (SELECT vec_id, v, 0 AS rank FROM s0 ORDER BY q DESC, vec_id LIMIT 1)",
+    ]
+    for i in range(1, k):
+        steps.append(f"s{i} AS MATERIALIZED (SELECT s.vec_id, s.v, s.q, least(coalesce(s.d, 1e9), list_distance(s.v, p.v)) AS d FROM s{i - 1} s, p{i - 1} p WHERE s.vec_id <> p.vec_id)")
+        steps.append(f"p{i} AS MATERIALIZED (SELECT vec_id, v, {i} AS rank FROM s{i} ORDER BY round(d * q, 12) DESC, vec_id LIMIT 1)")
+    return ", ".join(steps) + " ".join(f"{' UNION ALL' if i else ''} SELECT rank::BIGINT AS rank, vec_id FROM p{i}" for i in range(k))
+
+
+@query(_farthest_sql(25))
 def fps_tensor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three points by Euclidean distance times quality, as one bounded aggregate a step."""
-    rows, picked = _quality(spark, sf_dir), []
-    scored = rows.withColumn("d", F.lit(float("inf")))
-    for rank in range(3):
-        score = F.when(F.isnan("d") | (F.col("d") == float("inf")), F.col("quality")).otherwise(F.col("d") * F.col("quality"))
-        best = scored.where(~F.col("vec_id").isin([p for p, _ in picked]) if picked else F.lit(True)).orderBy(score.desc(), "vec_id").first()
-        picked.append((best["vec_id"], rank))
-        at = F.array(*(F.lit(float(x)) for x in best["embedding"]))
-        gap = F.sqrt(F.aggregate(F.zip_with("embedding", at, lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)), F.lit(0.0), lambda s, v: s + v))
-        scored = scored.withColumn("d", F.least("d", gap))
-    return spark.createDataFrame([(r, p) for p, r in picked], "rank int, vec_id bigint")
+    """25 points by Euclidean distance times quality."""
+    return V.fps_sample(_quality(spark, sf_dir), 25, euclidean=True).select("rank", "vec_id")
 
 
 @query()

@@ -263,6 +263,38 @@ def test_fps_does_not_depend_on_the_size_of_a_round(spark):
         assert [(r["vec_id"], r["rank"], round(r["novelty"], 9)) for r in vectors.fps_sample(df, 15, shard_rows=most).orderBy("rank").collect()] == want
 
 
+def test_euclidean_sample(spark):
+    rng = np.random.default_rng(9)
+    v, q = rng.standard_normal((60, 4)), rng.random(60)
+    d = spark.createDataFrame([(i, v[i].tolist(), float(q[i])) for i in range(60)], "vec_id bigint, embedding array<double>, quality double")
+    want = vectors.fps_euclidean(v, q, 12)
+    for size in (3, 1024):
+        got = vectors.fps_sample(d, 12, shard_rows=size, euclidean=True).orderBy("rank").collect()
+        assert [r["vec_id"] for r in got] == want
+    for k in (0, 61):
+        with pytest.raises(ValueError):
+            vectors.fps_sample(d, k, euclidean=True)
+
+
+def test_embedding_halves_its_batches(spark):
+    def encode(texts):
+        if len(texts) > 3:
+            raise MemoryError
+        return np.array([[len(t), 1.0] for t in texts])
+
+    d = spark.createDataFrame([(i, "x" * i if i else None) for i in range(11)], "id int, t string").coalesce(1)
+    got = {r["id"]: r["v"] for r in d.select("id", vectors.embedded(F.col("t"), encode, 8).alias("v")).collect()}
+    assert got[0] is None and all(got[i] == pytest.approx([i / (i * i + 1) ** 0.5, 1 / (i * i + 1) ** 0.5], abs=1e-6) for i in range(1, 11))
+    assert vectors.mean_pool(np.ones((2, 3, 2)) * np.arange(3)[None, :, None], np.array([[1, 1, 0], [0, 0, 0]])).tolist() == [[0.5, 0.5], [0.0, 0.0]]
+
+
+def test_views(spark):
+    d = spark.createDataFrame([(1, "t", "active"), (2, "u", "duplicate")], "id int, title string, status string")
+    assert len(catalog.view(d).columns) == 11 and catalog.view(d).count() == 2
+    assert len(catalog.view(d, "list").columns) == 10 and catalog.view(d, "list").first()["title"] == "t" and catalog.view(d, "list").count() == 1
+    assert catalog.view(d, "export").columns == ["url", "title", "summary", "domain", "content_type"]
+
+
 def test_graph(spark):
     d = spark.createDataFrame([(1, "a", "x"), (2, "a", "y"), (3, "b", "x"), (1, "a", "x"), (4, None, None)], "doc_id bigint, t string, s string")
     e = graph.edges(d, {"topic": F.col("t"), "site": F.col("s")})
