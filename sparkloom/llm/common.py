@@ -13,6 +13,7 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,9 +67,13 @@ def clear(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> in
 
 @atexit.register
 def _at_exit() -> None:
-    if _made and (spark := SparkSession.getActiveSession()) and spark.sparkContext._jsc:
-        with contextlib.suppress(Exception):  # the session may be ending, too
-            clear(spark)
+    jvm, spark = SparkContext._jvm, SparkSession.getActiveSession()
+    if _made and jvm:
+        with contextlib.suppress(Exception):  # the JVM may be ending, too
+            settings = spark.sparkContext._jsc.hadoopConfiguration() if spark else jvm.org.apache.hadoop.conf.Configuration()
+            for x in _made:
+                path = jvm.org.apache.hadoop.fs.Path(x)
+                path.getFileSystem(settings).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
