@@ -8,6 +8,7 @@ import re
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,9 +46,13 @@ def clear(spark: SparkSession) -> int:
 
 @atexit.register
 def _at_exit() -> None:
-    if _made and (spark := SparkSession.getActiveSession()) and spark.sparkContext._jsc:
-        with contextlib.suppress(Exception):  # the session may be ending, too
-            clear(spark)
+    jvm, spark = SparkContext._jvm, SparkSession.getActiveSession()
+    if _made and jvm:
+        with contextlib.suppress(Exception):  # the JVM may be ending, too
+            settings = spark.sparkContext._jsc.hadoopConfiguration() if spark else jvm.org.apache.hadoop.conf.Configuration()
+            for x in _made:
+                path = jvm.org.apache.hadoop.fs.Path(x)
+                path.getFileSystem(settings).delete(path, True)
 
 
 def reused(df: DataFrame) -> DataFrame:
