@@ -3,7 +3,9 @@
 Sets meet in tables of MinHash entries, so many that a pair at the threshold
 shares none with probability 1e-4 at most; sets that meet are compared in full.
 In a bucket a search from set to set gives a spanning forest of its links, so a
-group of near copies costs about one comparison a member.
+group of near copies costs about one comparison a member. A bucket of over
+``most`` sets is cut into blocks, and every two blocks meet in a task: memory is
+bounded by two blocks, and no link is lost.
 
 Defined results: words are split at white space, ASCII letters are lower-cased;
 texts under five words have no set; equal sets are one node.
@@ -25,6 +27,8 @@ from sparkloom.llm.common import text_batches, written
 from sparkloom.llm.simhash import LOWER
 
 ROWS = 4
+#: Sets of a bucket that one task holds, half of them at most of one block.
+MOST = 4096
 
 
 def shingle_set(text: str | None, words: int = 5, seed: int = 42) -> np.ndarray:
@@ -76,7 +80,7 @@ def spanning(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
     return edges
 
 
-def links(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = 0.8, seed: int = 42) -> DataFrame:
+def links(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = 0.8, seed: int = 42, most: int = MOST) -> DataFrame:
     """u, v: pairs of ids that connect the documents of equal sets and those that
     links of at least ``threshold`` connect."""
     tables = tables_for(threshold)
@@ -105,13 +109,15 @@ def links(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: f
     signed = written(rows.mapInArrow(sign, "key bigint, node bigint, keys array<bigint>"), "shingled")
     nodes = written(signed.groupBy("node").agg(F.min("key").alias("least"), F.first("keys").alias("keys")), "shingle_nodes")
     keyed = nodes.select("node", F.posexplode("keys").alias("t", "k"))
-    shared = written(keyed.groupBy("t", "k").count().where("count > 1").drop("count"), "shingle_buckets")
+    shared = written(keyed.groupBy("t", "k").count().where("count > 1"), "shingle_buckets")
     members = written(keyed.join(shared, ["t", "k"]), "shingle_members")
     # Only the first document of each node that meets another is read again.
     firsts = nodes.join(members.select("node").distinct(), "node", "left_semi").select(F.col("least").alias("key"))
     sets = rows.join(firsts, "key", "left_semi").mapInArrow(read, "node bigint, set binary").groupBy("node").agg(F.first("set").alias("set"))
     sets = written(sets, "shingle_sets")
 
+    deal = ("t", "k", "a", "b")
+
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, names, held = None, [], []
 
@@ -120,17 +126,22 @@ def links(docs: DataFrame, text: str = "text", key: str = "doc_id", threshold: f
             return pa.RecordBatch.from_arrays([pa.array([names[e[i]] for e in found], pa.int64()) for i in (0, 1)], ["u", "v"])
 
         for batch in batches:
-            for node, t, k, value in zip(*(batch.column(x).to_pylist() for x in ("node", "t", "k", "set")), strict=True):
-                if (t, k) != bucket:
+            for node, value, *key in zip(*(batch.column(x).to_pylist() for x in ("node", "set", *deal)), strict=True):
+                if key != bucket:
                     if len(held) > 1:
                         yield flush()
-                    bucket, names, held = (t, k), [], []
+                    bucket, names, held = key, [], []
                 names.append(node)
                 held.append(np.frombuffer(value, dtype=np.uint64))
         if len(held) > 1:
             yield flush()
 
-    met = members.join(sets, "node").repartition("t", "k").sortWithinPartitions("t", "k", "node")
+    # One block, or so many that two of them hold ``most`` sets.
+    blocks = F.when(F.col("count") <= most, 1).otherwise(F.ceil(2 * F.col("count") / most)).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
+    dealt = members.withColumn("_blocks", blocks).withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    dealt = dealt.select("node", "t", "k", F.least("_own", "_other").alias("a"), F.greatest("_own", "_other").alias("b"))
+    met = dealt.join(sets, "node").repartition(*deal).sortWithinPartitions(*deal, "node")
     found = written(met.mapInArrow(near, "u bigint, v bigint").distinct(), "shingle_links")
     least = nodes.select("node", "least")
     ends = found.join(least.withColumnsRenamed({"node": "u", "least": "a"}), "u").join(least.withColumnsRenamed({"node": "v", "least": "b"}), "v").select(F.col("a").alias("u"), F.col("b").alias("v"))

@@ -36,3 +36,28 @@ def test_stage_drops_near_copies_beyond_two_bits(spark):
 def test_spanning_forest_and_copies(spark):
     d = spark.createDataFrame([(3, "a b c d e f"), (1, "A b  c d e f"), (2, "a b c d"), (5, None), (None, "a b c d e f"), (4, "x y z u v w")], "doc_id bigint, text string")
     assert [tuple(r) for r in shingles.links(d).collect()] == [(1, 3)]
+
+
+def test_blocks_of_a_large_bucket_lose_no_link(spark):
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(4000)}" for _ in range(150)]
+    texts = {}
+    for i in range(60):
+        copy = base.copy()
+        for at in rng.sample(range(150), rng.choice([1, 2, 4, 12])):
+            copy[at] = f"x{i}"
+        texts[i] = " ".join(copy)
+    d = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    near = [(a, b) for a in texts for b in texts if a < b and jaccard(texts[a], texts[b]) >= 0.8]
+
+    def groups(pairs):
+        label = {i: i for i in texts}
+        for _ in texts:
+            for a, b in pairs:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    want = groups(near)
+    assert 1 < len(set(want.values())) < 60
+    for most in (4096, 8):
+        assert groups([tuple(r) for r in shingles.links(d, most=most).collect()]) == want

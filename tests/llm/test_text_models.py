@@ -185,3 +185,17 @@ def test_ftrl_learns_and_stays_sparse():
 def test_intermediate_tables_can_be_cleared(spark):
     made = common.written(spark.range(3), "t")
     assert made.count() == 3 and common.clear(spark) >= 1 and common.clear(spark) == 0
+
+class Cluster:
+    """What the folder is asked for, of a session on a cluster without the setting."""
+
+    master = "spark://host:7077"
+    sparkContext = conf = _jsc = property(lambda self: self)  # noqa: N815
+    getConf = sc = getCheckpointDir = lambda self: self  # noqa: N815
+    get = lambda self, *args: None
+    isDefined = lambda self: False  # noqa: E731, N815
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(Cluster())
