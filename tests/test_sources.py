@@ -272,3 +272,19 @@ def test_online_sample(spark, tmp_path):
     kept = []
     ingest.run(ingest.files(spark, f"{tmp_path}/v", v.schema), "", f"{tmp_path}/c2", ingest.reservoir_each(kept, 0.7))
     assert [k[1] for k in kept] == [2, 3]
+
+class Cluster:
+    """What the folder is asked for, of a session on a cluster without the setting."""
+
+    master = "spark://host:7077"
+    sparkContext = conf = _jsc = property(lambda self: self)  # noqa: N815
+    getConf = sc = getCheckpointDir = lambda self: self  # noqa: N815
+    get = lambda self, *args: None
+    isDefined = lambda self: False  # noqa: E731, N815
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from sparkloom import store
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        store.shared_folder(Cluster())
