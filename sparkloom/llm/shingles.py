@@ -28,7 +28,9 @@ from sparkloom.llm.simhash import LOWER
 
 ROWS = 4
 #: Sets of a bucket that one task holds, half of them at most of one block.
-MOST = 4096
+MOST = 2048
+#: Sets that are compared one by one; more are compared by a matrix of common shingles.
+FEW = 16
 
 
 def shingle_set(text: str | None, words: int = 5, seed: int = 42) -> np.ndarray:
@@ -57,26 +59,63 @@ def table_keys(own: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return out
 
 
+def common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles every two sets share.
+
+    Shingles that a sixteenth of the sets have are columns of 0-1 matrices, a
+    thousand at a time, whose products are added up; the pairs of sets that
+    share one of the others are counted one by one, and there are few.
+    """
+    n, sizes = len(sets), [len(x) for x in sets]
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), sizes)
+    order = np.argsort(column, kind="stable")
+    order = order[counts[column[order]] > 1]
+    row, column = row[order], column[order]
+    out = np.zeros((n, n), dtype=np.float32)
+    often = counts[column] * 16 > n
+    place = np.cumsum(np.r_[False, np.diff(column[often]) != 0]) if often.any() else np.zeros(0, dtype=np.int64)
+    for start in range(0, int(place[-1]) + 1 if len(place) else 0, 1024):
+        a, b = np.searchsorted(place, [start, start + 1024])
+        x = np.zeros((n, 1024), dtype=np.float32)
+        x[row[often][a:b], place[a:b] - start] = 1
+        out += x @ x.T
+    row, column = row[~often], column[~often]
+    first = np.searchsorted(column, column)
+    many = np.searchsorted(column, column, side="right") - first
+    for start in range(0, len(row), 1 << 16):
+        m = many[start : start + (1 << 16)]
+        left = np.repeat(row[start : start + (1 << 16)], m)
+        right = row[np.repeat(first[start : start + (1 << 16)], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)]
+        np.add.at(out, (left, right), 1)
+    return out
+
+
 def spanning(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
     """Edges that connect exactly the sets that links of the threshold connect."""
     sizes = np.array([len(x) for x in sets])
-    edges, left = [], list(range(len(sets)))
-    while left:
-        todo = [left.pop(0)]
-        while todo and left:
-            at, rest = todo.pop(), []
-            own, n = sets[at], sizes[at]
-            for other in left:
-                m = sizes[other]
-                # Sets whose sizes differ too much cannot be alike.
-                if min(n, m) >= threshold * max(n, m):
-                    both = int(np.isin(own, sets[other], assume_unique=True).sum())
-                    if both >= threshold * (n + m - both) - 1e-9:
-                        edges.append((at, other))
-                        todo.append(other)
-                        continue
-                rest.append(other)
-            left = rest
+    shared = common(sets) if len(sets) > FEW else None
+
+    def linked(at: int, others: np.ndarray) -> np.ndarray:
+        """Which of the others are linked to a set."""
+        n, m = sizes[at], sizes[others]
+        # Sets whose sizes differ too much cannot be alike.
+        able = np.flatnonzero(np.minimum(n, m) >= threshold * np.maximum(n, m))
+        both = shared[at, others[able]].astype(np.int64) if shared is not None else np.array([np.isin(sets[at], sets[i], assume_unique=True).sum() for i in others[able]], dtype=np.int64)
+        return others[able[both >= threshold * (n + m[able] - both) - 1e-9]]
+
+    edges, left = [], np.ones(len(sets), dtype=bool)
+    for first in range(len(sets)):
+        if not left[first]:
+            continue
+        left[first] = False
+        todo = [first]
+        while todo and left.any():
+            at = todo.pop()
+            found = linked(at, np.flatnonzero(left))
+            left[found] = False
+            edges += [(at, int(i)) for i in found]
+            todo += found.tolist()
     return edges
 
 
