@@ -162,6 +162,30 @@ def test_minhash_in_a_large_group(spark):
     assert {r["doc_id"]: (r["duplicate_of"], r["similarity"]) for r in dedup.minhash_duplicates(d).collect()} == brute_minhash(texts, 0.5)
 
 
+def test_minhash_signer_gives_each_text_its_own_signature():
+    rng = random.Random(5)
+    signs = [lambda: chr(rng.randrange(32, 127)), lambda: chr(rng.randrange(0x4E00, 0x9FFF)), lambda: chr(rng.randrange(0x10000, 0x10FFFF)), lambda: "\ud800"]
+    texts = ["", None, "abc", "abcd", "abcde", "\u0130" * 9, *("".join(rng.choice(signs)() for _ in range(rng.randrange(600))) for _ in range(30)), PANGRAM, PANGRAM.upper()]
+    sign = dedup.Signer(most=20_000)
+    for text in texts * 2:
+        assert (sign(text) == dedup.minhash_value(text, *dedup.permutations())).all()
+
+
+def test_minhash_duplicates_deal_no_signatures(spark, monkeypatch):
+    """Blocks of few rows in any order; nothing is shuffled, so nothing takes disk but the signatures."""
+    for name, size in (("READ", 32), ("HELD", 16), ("STEP", 8)):
+        monkeypatch.setattr(dedup, name, size)
+    rng = random.Random(9)
+    words = [f"w{rng.randrange(300)}" for _ in range(40)]
+    texts = {i: " ".join(w if rng.random() > 0.05 * (i % 5) else f"x{rng.randrange(99)}" for w in words) if i % 3 else " ".join(f"y{rng.randrange(9999)}" for _ in range(20)) for i in range(160)}
+    texts |= {200: texts[0], 201: texts[150], 202: "", 203: "", 204: None}
+    rows = list(texts.items())
+    rng.shuffle(rows)
+    found = dedup.minhash_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7))
+    assert {r["doc_id"]: (r["duplicate_of"], r["similarity"]) for r in found.collect()} == brute_minhash(texts, 0.5)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_cosine_duplicates(spark):
     rng = np.random.default_rng(0)
     base = rng.standard_normal((30, 16))
