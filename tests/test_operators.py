@@ -186,6 +186,19 @@ def test_minhash_duplicates_deal_no_signatures(spark, monkeypatch):
     assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_minhash_links_are_counted_per_document(spark):
+    rng = random.Random(10)
+    words = [f"w{rng.randrange(300)}" for _ in range(60)]
+    texts = {i: " ".join(w if rng.random() > 0.01 * (i % 5) else f"x{rng.randrange(99)}" for w in words) for i in range(90)}
+    texts |= {200: texts[1], 201: texts[1].upper(), 202: "something else", 203: "", 204: "abc", 205: None}
+    found = dedup.minhash_links(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string"), threshold=0.8)
+    sigs = {i: tuple(dedup.minhash_value(t, *dedup.permutations()).tolist()) for i, t in texts.items() if t is not None}
+    first = {s: min(i for i in sigs if sigs[i] == s) for s in sigs.values()}
+    links = {s: sum(t != s and np.mean(np.array(s) == np.array(t)) >= 0.8 for t in first) for s in first}
+    want = sorted((i, first[s], links[s]) for i, s in sigs.items())
+    assert sorted(map(tuple, found.collect())) == want and max(x[2] for x in want) > 20
+
+
 def test_cosine_duplicates(spark):
     rng = np.random.default_rng(0)
     base = rng.standard_normal((30, 16))
